@@ -21,7 +21,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The runs of characters outside ``[\\x20\\x09-\\x0D]`` of all texts, A-Z in lower case, and where each text's words start."""
-    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    split = pc.ascii_split_whitespace(pc.fill_null(pc.ascii_lower(texts), ""))  # no cast: lowering a slice of large strings breaks them
     flat = split.flatten()
     offsets = split.offsets.to_numpy().astype(np.int64)
     offsets = offsets - offsets[0]
