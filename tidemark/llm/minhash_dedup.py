@@ -9,10 +9,13 @@ document against its neighbours, and whatever that leaves unlinked is compared w
 whole region in the second round.
 
 Documents with equal sets are folded first. Round one takes from each region the edges of
-a spanning forest of greatest estimated similarity; round two takes every remaining pair of a
-region whose documents are not yet in one component. A pair is left out on the estimate
-of all minimum hashes only when that is ``margin`` below the threshold (over five standard
-errors), and every link is confirmed on the full sets of both texts.
+a spanning forest of greatest estimated similarity. Round two brings the full sets of a
+region that still holds several components into one task and tries every remaining pair
+there, so no pair of rows is ever emitted but for links that join components; regions
+too large for one task come in blocks, and only what is outside the main component is
+carried to every block. A pair is left out on the estimate of all minimum hashes only
+when that is ``margin`` below the threshold (over three standard errors), and every link is
+confirmed on the full sets of both texts.
 """
 
 from __future__ import annotations
@@ -58,7 +61,7 @@ def _prefix(sig: np.ndarray, depth: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = TREES, depths: tuple[int, ...] = DEPTHS, region: int = 64, margin: float = 0.18) -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = TREES, depths: tuple[int, ...] = DEPTHS, region: int = 64, margin: float = 0.12) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept.
 
     Documents link when ``100 * |A & B| >= percent * |A | B|`` of their shingle sets; a component is
@@ -102,7 +105,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         shared = saved(open_rows.join(counts, ["tree", name]).select("node", "tree", *names, "c"))
         found.append(shared.where(F.col("c") <= region).select("node", "tree", F.lit(depth).alias("depth"), F.col(name).alias("key")))
         open_rows = shared.where(F.col("c") > region).drop("c")
-    large = open_rows.select("node", "tree", F.lit(depths[-1]).alias("depth"), F.col(names[-1]).alias("key"))
+    large = saved(open_rows.select("node", "tree", F.lit(depths[-1]).alias("depth"), F.col(names[-1]).alias("key")))
     small = found[0]
     for f in found[1:]:
         small = small.union(f)
@@ -116,109 +119,157 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             return part.repartitionByRange(*keys, "sig", "node").sortWithinPartitions(*keys, "sig", "node")
         return part.repartition(*keys).sortWithinPartitions(*keys, "sig", "node")
 
-    def pairs(every: bool, walk: int):
-        """Candidate pairs of whole regions or, with ``walk``, of neighbours in stretches of sorted order."""
+    def roots(n: int):
+        """A union-find over 0..n-1: the function that joins two and says whether they were apart."""
+        root = list(range(n))
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        def join(x: int, y: int) -> bool:
+            x, y = top(x), top(y)
+            root[max(x, y)] = min(x, y)
+            return x != y
+
+        return top, join
+
+    def alike(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs of rows that may reach the threshold, best estimate first."""
+        like = np.concatenate([(sig[i] == sig[i + 1 :]).mean(axis=1) for i in range(len(sig) - 1)])
+        a, b = np.triu_indices(len(sig), 1)
+        order = np.argsort(-like, kind="stable")
+        order = order[like[order] >= least]
+        return a[order], b[order], like[order]
+
+    def forests(walk: int):
+        """Round one: a spanning forest of each region or, with ``walk``, of stretches of its sorted order."""
 
         def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sliced = (b.slice(k, walk) for b in batches for k in range(0, b.num_rows, walk)) if walk else batches
-            chunks = ((t, b) for t, b in whole_groups(sliced, ["tree", "depth", "key"])) if not walk else ((pa.Table.from_batches([b]), _stretches(b)) for b in sliced)
+            if walk:
+                chunks = ((pa.Table.from_batches([x]), _stretches(x)) for b in batches for k in range(0, b.num_rows, walk) for x in [b.slice(k, walk)])
+            else:
+                chunks = whole_groups(batches, ["tree", "depth", "key"])
             for tab, bounds in chunks:
                 node = tab.column("node").to_pylist()
-                part = tab.column("part").to_pylist()
                 sig = np.frombuffer(b"".join(tab.column("sig").to_pylist()), np.uint32).reshape(len(node), -1)
                 out: set[tuple[bytes, bytes]] = set()
                 for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-                    n = hi - lo
-                    if n < 2 or len(set(part[lo:hi])) < 2:
+                    if hi - lo < 2:
                         continue
-                    s = sig[lo:hi]
-                    a, b = np.triu_indices(n, 1)
-                    like = np.concatenate([(s[i] == s[i + 1 :]).mean(axis=1) for i in range(n - 1)])
-                    own = np.unique(np.array(part[lo:hi], object), return_inverse=True)[1]
-                    take = (like >= least) & (own[a] != own[b])
-                    a, b, like = a[take], b[take], like[take]
-                    if not every and len(a):
-                        order = np.argsort(-like, kind="stable")
-                        root = list(range(n))
-
-                        def top(x: int, root: list[int] = root) -> int:
-                            while root[x] != x:
-                                root[x] = root[root[x]]
-                                x = root[x]
-                            return x
-
-                        chosen = []
-                        for e in order.tolist():
-                            x, y = top(int(a[e])), top(int(b[e]))
-                            if x != y:
-                                root[max(x, y)] = min(x, y)
-                                chosen.append(e)
-                        a, b = a[chosen], b[chosen]
+                    _, join = roots(hi - lo)
+                    a, b, _ = alike(sig[lo:hi])
                     for x, y in zip(a.tolist(), b.tolist(), strict=True):
-                        x, y = node[lo + x], node[lo + y]
-                        out.add((x, y) if x < y else (y, x))
+                        if join(x, y):
+                            x, y = node[lo + x], node[lo + y]
+                            out.add((x, y) if x < y else (y, x))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["a", "b"])
 
         return f
 
-    def confirmed(ends: DataFrame) -> DataFrame:
-        """The candidate pairs that hold on the full sets of their texts."""
-        wanted = saved(ends.select("a").union(ends.select("b")).distinct().withColumnRenamed("a", "node"))
-        if wanted.isEmpty():
-            return ends.select("a", "b")
-        # The text of each wanted set: any row that has it.
-        owner = wanted.join(distinct.select("node", "id"), "node")
-
-        def fits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for k in range(0, b.num_rows, 500):
-                    part = b.slice(k, 500)
-                    sets = shingle_sets(part.column("text"), shingle)
-                    good = [i for i, (s, n) in enumerate(zip(sets, part.column("node").to_pylist(), strict=True)) if len(s) and xxhash.xxh3_128_digest(s.tobytes()) == n]
-                    yield pa.RecordBatch.from_arrays([part.column("node").take(pa.array(good, pa.int64())), pa.array([sets[i].tobytes() for i in good], pa.binary())], ["node", "s"])
-
-        sets = source.join(owner, F.coalesce(source.id, F.lit(-(2**63))) == F.coalesce(owner.id, F.lit(-(2**63)))).select("node", "text").mapInArrow(fits, "node binary, s binary").dropDuplicates(["node"])
-        sets = saved(sets)
-
-        def holds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                good = []
-                for i, (x, y) in enumerate(zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True)):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    if 100 * both >= percent * (len(x) + len(y) - both):
-                        good.append(i)
-                yield pa.RecordBatch.from_arrays([b.column(c).take(pa.array(good, pa.int64())) for c in ("a", "b")], ["a", "b"])
-
-        left = ends.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
-        return left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb").mapInArrow(holds, "a binary, b binary")
-
     pair_type = "a binary, b binary"
-    lone = F.col("node").alias("part")
-    first = grouped(small, False).withColumn("part", lone).mapInArrow(pairs(False, 0), pair_type)
-    walked = grouped(large, True).withColumn("part", lone).mapInArrow(pairs(False, 128), pair_type)
+    first = grouped(small, False).mapInArrow(forests(0), pair_type)
+    walked = grouped(large, True).mapInArrow(forests(128), pair_type)
     tried = saved(first.union(walked).distinct())
-    links = saved(confirmed(tried))
+
+    # The full set of every document with a candidate: the text of any row that has it.
+    wanted = saved(tried.select("a").union(tried.select("b")).union(large.select("node")).distinct().withColumnRenamed("a", "node"))
+    owner = wanted.join(distinct.select("node", "id"), "node")
+
+    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 500):
+                part = b.slice(k, 500)
+                sets = shingle_sets(part.column("text"), shingle)
+                good = [i for i, (s, n) in enumerate(zip(sets, part.column("node").to_pylist(), strict=True)) if len(s) and xxhash.xxh3_128_digest(s.tobytes()) == n]
+                yield pa.RecordBatch.from_arrays([part.column("node").take(pa.array(good, pa.int64())), pa.array([sets[i].tobytes() for i in good], pa.binary())], ["node", "s"])
+
+    none = F.lit(-(2**63))
+    sets = source.join(owner, F.coalesce(source.id, none) == F.coalesce(owner.id, none)).select("node", "text").mapInArrow(full, "node binary, s binary")
+    sets = saved(sets.dropDuplicates(["node"]))
+
+    def linked(x: np.ndarray, y: np.ndarray) -> bool:
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= percent * (len(x) + len(y) - both)
+
+    def holds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            good = [i for i, (x, y) in enumerate(zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True)) if linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))]
+            yield pa.RecordBatch.from_arrays([b.column(c).take(pa.array(good, pa.int64())) for c in ("a", "b")], ["a", "b"])
+
+    left = tried.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
+    links = saved(left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb").mapInArrow(holds, pair_type))
     parts = saved(connected_components(links))
 
-    # Round two: what is left between components within a region.
+    # Round two: regions that still hold several components. ``own``: at home in the block; ``far``: to be tried against it.
+    keys = ["tree", "depth", "key"]
+
     def parted(members: DataFrame) -> DataFrame:
-        return members.join(parts, "node", "left").select("node", "tree", "depth", "key", F.coalesce("component", "node").alias("part"))
+        return saved(members.join(parts, "node", "left").select("node", *keys, F.coalesce("component", "node").alias("part")))
 
-    keys = ["tree", "depth", "key"]
-    mixed_small = parted(small)
-    split = mixed_small.groupBy(*keys).agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select(*keys)
-    second = grouped(mixed_small.join(split, keys), False).mapInArrow(pairs(True, 0), pair_type)
-    in_large = saved(parted(large))
+    in_small, in_large = parted(small), parted(large)
+    split = in_small.groupBy(*keys).agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select(*keys)
+    yes, no = F.lit(True), F.lit(False)
+    open_small = in_small.join(split, keys).select(*keys, F.lit(0).alias("block"), "node", "part", yes.alias("own"), yes.alias("far"))
     sizes = in_large.groupBy(*keys, "part").agg(F.count("*").alias("c"))
-    main = sizes.groupBy(*keys).agg(F.max(F.struct("c", "part")).alias("m"), F.count("*").alias("parts")).where("parts > 1").select(*keys, F.col("m.part").alias("most"))
-    rest = in_large.join(main, keys).where("part <> most").drop("most")
-    other = rest.select(*keys, F.col("node").alias("a"), F.col("part").alias("pa")).join(in_large.select(*keys, F.col("node").alias("b"), F.col("part").alias("pb")), keys).where("pa <> pb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    again = saved(second.union(other).distinct().join(tried, ["a", "b"], "left_anti"))
-    if not again.isEmpty():
-        links = saved(links.union(confirmed(again)))
-        parts = saved(connected_components(links))
+    main = sizes.groupBy(*keys).agg(F.max(F.struct("c", "part")).alias("m"), F.sum("c").alias("c"), F.count("*").alias("parts")).where("parts > 1")
+    main = main.select(*keys, F.col("m.part").alias("most"), F.ceil(F.col("c") / (4 * region)).cast("int").alias("blocks"))
+    dealt = in_large.join(main, keys).withColumn("home", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    minor = F.col("part") != F.col("most")
+    blocks = F.when(minor, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("home"))
+    open_large = dealt.withColumn("block", F.explode(blocks)).select(*keys, "block", "node", "part", (F.col("block") == F.col("home")).alias("own"), minor.alias("far"))
+    group = [*keys, "block"]
+
+    def tries(tab: pa.Table, lo: int, hi: int, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of a block to be tried: of different components, one at home and one far."""
+        own, far = (np.array(tab.column(c).to_pylist()[lo:hi], bool) for c in ("own", "far"))
+        part = np.unique(np.array(tab.column("part").to_pylist()[lo:hi], object), return_inverse=True)[1]
+        a, b, _ = alike(sig[lo:hi])
+        use = (part[a] != part[b]) & ((own[a] & far[b]) | (own[b] & far[a]))
+        return a[use], b[use]
+
+    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of a block that some pair to be tried needs."""
+        for tab, bounds in whole_groups(batches, group):
+            sig = np.frombuffer(b"".join(tab.column("sig").to_pylist()), np.uint32).reshape(tab.num_rows, -1)
+            some = np.zeros(tab.num_rows, bool)
+            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+                if hi - lo > 1:
+                    for x in tries(tab, lo, hi, sig):
+                        some[lo + x] = True
+            yield from tab.filter(pa.array(some)).to_batches()
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The links of a block that join components."""
+        for tab, bounds in whole_groups(batches, group):
+            sig = np.frombuffer(b"".join(tab.column("sig").to_pylist()), np.uint32).reshape(tab.num_rows, -1)
+            node, part, full_sets = (tab.column(c).to_pylist() for c in ("node", "part", "s"))
+            out = []
+            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+                if hi - lo < 2:
+                    continue
+                top, join = roots(hi - lo)
+                home: dict[bytes, int] = {}
+                for i in range(hi - lo):
+                    join(home.setdefault(part[lo + i], i), i)
+                shingles = [np.frombuffer(x, np.uint64) for x in full_sets[lo:hi]]
+                for x, y in zip(*(v.tolist() for v in tries(tab, lo, hi, sig)), strict=True):
+                    if top(x) != top(y) and linked(shingles[x], shingles[y]):
+                        join(x, y)
+                        out.append((node[lo + x], node[lo + y]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["a", "b"])
+
+    row = "tree int, depth int, key bigint, block int, node binary, part binary, own boolean, far boolean, sig binary"
+    signed = open_small.union(open_large).join(distinct.select("node", "sig"), "node").select(*group, "node", "part", "own", "far", "sig")
+    rest = saved(signed.repartition(*group).sortWithinPartitions(*group).mapInArrow(needed, row))
+    brought = rest.join(sets, "node").select(*group, "node", "part", "own", "far", "sig", "s").repartition(*group).sortWithinPartitions(*group)
+    more = saved(brought.mapInArrow(settle, pair_type))
+    if not more.isEmpty():
+        parts = saved(connected_components(links.union(more)))
 
     known = rows.join(parts, "node", "left").select("id", "n", F.coalesce("component", "node").alias("component"))
     known = saved(known)
