@@ -1,0 +1 @@
+"""Incremental table replication and change capture on Spark DataFrames."""
