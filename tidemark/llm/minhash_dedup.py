@@ -32,8 +32,8 @@ from .common import connected_components, saved, whole_groups
 from .shingles import mixed, shingle_sets
 
 #: Depths at which a region may be cut; a tree has as many hashes as the last.
-DEPTHS = (3, 5, 8)
-TREES = 16
+DEPTHS = (3, 4, 6)
+TREES = 20
 
 
 def _family(n: int) -> np.ndarray:
