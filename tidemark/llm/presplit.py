@@ -13,7 +13,7 @@ _PLAIN = re.compile("[^\t\n\x0b\x0c\r\x20-\x7eÀ-ÖØ-öø-ɏ]")
 # The patterns of the two published vocabularies.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 _WORD_PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
-_BYTE_PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+_BYTE_PLAIN = r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[!-/:-@\[-`{-~]+|\s+(?!\S)|\s+"
 
 _word, _word_plain, _byte_plain = regex.compile(WORD_PATTERN), re.compile(_WORD_PLAIN), re.compile(_BYTE_PLAIN)
 

@@ -55,7 +55,7 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 class Words(dict):
     """Words -> ids as bytes by the library; it forgets all words when it holds ``most``."""
 
-    def __init__(self, spec: str, most: int = 300_000) -> None:
+    def __init__(self, spec: str, most: int = 1_000_000) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -65,14 +65,33 @@ class Words(dict):
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
+    def learn(self, words: list[str]) -> None:
+        """Words that begin with one space keep apart when they are joined, so they are encoded as one text."""
+        joined, single = [], []
+        for w in words:
+            (joined if len(w) > 1 and w[0] == " " and not w[1].isspace() else single).append(w)
+        for k in range(0, len(joined), 20_000):
+            part = joined[k : k + 20_000]
+            e = self.tokenizer.encode("".join(part), add_special_tokens=False)
+            ids = np.array(e.ids, np.uint32).tobytes()
+            ends = np.cumsum(np.bincount(np.array(e.word_ids), minlength=len(part))).tolist()
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer does not split the joined words as it splits the text")
+            at = 0
+            for w, end in zip(part, ends, strict=True):
+                self[w] = ids[4 * at : 4 * end]
+                at = end
+        for w, e in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False), strict=True):
+            self[w] = np.array(e.ids, np.uint32).tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if any(s in x for s in self.special) else byte_level_words(x) for x in texts]
-        new = list({w for ws in split if ws for w in ws if w not in self})
+        seen = set().union(*filter(None, split))
+        new = seen.difference(self)
         if len(self) + len(new) > self.most:
             self.clear()
-            new = list({w for ws in split if ws for w in ws})
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[w] = np.array(e.ids, np.uint32).tobytes()
+            new = seen
+        self.learn(list(new))
         return [b"".join(map(self.__getitem__, ws)) if ws is not None else np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, np.uint32).tobytes() for x, ws in zip(texts, split, strict=True)]
 
 
