@@ -32,7 +32,7 @@ from .common import connected_components, saved, whole_groups
 from .shingles import mixed, shingle_sets
 
 #: Depths at which a region may be cut; a tree has as many hashes as the last.
-DEPTHS = (3, 4, 6)
+DEPTHS = (3, 5, 8)
 TREES = 20
 
 
@@ -61,7 +61,7 @@ def _prefix(sig: np.ndarray, depth: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = TREES, depths: tuple[int, ...] = DEPTHS, region: int = 64, margin: float = 0.12) -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = TREES, depths: tuple[int, ...] = DEPTHS, region: int = 64, margin: float = 0.1) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept.
 
     Documents link when ``100 * |A & B| >= percent * |A | B|`` of their shingle sets; a component is
@@ -224,12 +224,33 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     group = [*keys, "block"]
 
     def tries(tab: pa.Table, lo: int, hi: int, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The pairs of a block to be tried: of different components, one at home and one far."""
-        own, far = (np.array(tab.column(c).to_pylist()[lo:hi], bool) for c in ("own", "far"))
+        """The pairs of a block to be tried, best estimate first: of different components, one at home and one far."""
+        own, far = (np.flatnonzero(np.array(tab.column(c).to_pylist()[lo:hi], bool)) for c in ("own", "far"))
         part = np.unique(np.array(tab.column("part").to_pylist()[lo:hi], object), return_inverse=True)[1]
-        a, b, _ = alike(sig[lo:hi])
-        use = (part[a] != part[b]) & ((own[a] & far[b]) | (own[b] & far[a]))
-        return a[use], b[use]
+        s = sig[lo:hi]
+        at_home = np.zeros(hi - lo, bool)
+        at_home[own] = True
+        found = []
+        for x in far.tolist():
+            # Two at home and far meet once, from the later one.
+            y = own[own < x] if at_home[x] else own
+            y = y[part[y] != part[x]]
+            like = (s[y] == s[x]).mean(axis=1) if len(y) else np.zeros(0)
+            keep = like >= least
+            found.append((y[keep], np.full(int(keep.sum()), x), like[keep]))
+        later = np.setdiff1d(own, far)
+        for x in np.intersect1d(own, far).tolist():
+            # One at home that is not far comes after: not met above.
+            y = later[later > x]
+            y = y[part[y] != part[x]]
+            like = (s[y] == s[x]).mean(axis=1) if len(y) else np.zeros(0)
+            keep = like >= least
+            found.append((y[keep], np.full(int(keep.sum()), x), like[keep]))
+        if not found:
+            return np.zeros(0, int), np.zeros(0, int)
+        a, b, like = (np.concatenate(v) for v in zip(*found, strict=True))
+        order = np.argsort(-like, kind="stable")
+        return a[order], b[order]
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The rows of a block that some pair to be tried needs."""
