@@ -225,8 +225,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def tries(tab: pa.Table, lo: int, hi: int, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs of a block to be tried, best estimate first: of different components, one at home and one far."""
-        own, far = (np.flatnonzero(np.array(tab.column(c).to_pylist()[lo:hi], bool)) for c in ("own", "far"))
-        part = np.unique(np.array(tab.column("part").to_pylist()[lo:hi], object), return_inverse=True)[1]
+        own, far = (np.flatnonzero(np.array(tab.column(c).slice(lo, hi - lo).to_pylist(), bool)) for c in ("own", "far"))
+        part = np.unique(np.array(tab.column("part").slice(lo, hi - lo).to_pylist(), object), return_inverse=True)[1]
         s = sig[lo:hi]
         at_home = np.zeros(hi - lo, bool)
         at_home[own] = True
