@@ -5,6 +5,7 @@ import sys
 import tempfile
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
@@ -40,6 +41,8 @@ def rows(frame) -> list[tuple]:
 
     def plain(x):
         x = x.item() if hasattr(x, "item") else x
+        if x is pd.NA:
+            x = None
         if isinstance(x, float):  # a column of integers with nulls comes as floats
             x = None if x != x else int(x) if x.is_integer() else x
         return str(x)
