@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -22,7 +23,7 @@ from tidemark.llm.language import language
 from tidemark.llm.minhash_dedup import near_dedup
 from tidemark.llm.mixing import mix
 from tidemark.llm.quality import marginals, quality
-from tidemark.llm.shingles import shingle_sets, words
+from tidemark.llm.shingles import shingle_sets, word_hashes, words
 from tidemark.llm.toxicity import fit, toxicity
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -232,11 +233,26 @@ def test_near_edges(spark):
 
 def test_words_of_slices():
     texts = pa.array([f"Ä{i} B\x0bc É" for i in range(50)] + [None, ""])
-    flat, offsets = words(texts.slice(20))
-    assert flat.to_pylist()[:3] == ["Ä20", "b", "c"] and offsets[-1] == len(flat) == 4 * 30
+    text, starts, ends, offsets = words(texts.slice(20))
+    assert [text[a:b].tobytes().decode() for a, b in zip(starts[:3], ends, strict=False)] == ["Ä20", "b", "c"] and offsets[-1] == len(starts) == 4 * 30
     assert [len(s) for s in shingle_sets(texts.slice(49), 4)] == [1, 0, 0]
 
 
+def test_words_and_shingles_equal_regular_expression():
+    """Words of every length, with bytes that are not white space, cut at the ends of texts and slices."""
+    pick = random.Random(1)
+    texts = ["".join(pick.choice("aB \t\nÉ€x\x0b\x00") for _ in range(pick.randrange(40))) for _ in range(500)] + [None, "", " ", "x" * 300, "X" * 300 + " y"]
+    for array in (pa.array(texts), pa.array(texts).slice(7), pa.array(texts, pa.large_string()).slice(11, 200), pa.array([None], pa.string()), pa.array([], pa.string())):
+        found = [["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")] for t in array.to_pylist()]
+        h, offsets = word_hashes(array)
+        flat = [w for ws in found for w in ws]
+        assert np.diff(offsets).tolist() == [len(ws) for ws in found]
+        assert len(set(zip(flat, h.tolist(), strict=True))) == len(set(flat)) == len(set(h.tolist()))
+        for n in (1, 2, 4):
+            want = [len({tuple(ws[i : i + n]) for i in range(len(ws) - n + 1)}) if len(ws) >= n else int(bool(ws)) for ws in found]
+            assert [len(s) for s in shingle_sets(array, n)] == want
+
+
 # --- 7, 8, 10 ----------------------------------------------------------------------------------
 
 
