@@ -11,11 +11,12 @@ whole region in the second round.
 Documents with equal sets are folded first. Round one takes from each region the edges of
 a spanning forest of greatest estimated similarity. Round two brings the full sets of a
 region that still holds several components into one task and tries every remaining pair
-there, so no pair of rows is ever emitted but for links that join components; regions
-too large for one task come in blocks, and only what is outside the main component is
-carried to every block. A pair is left out on the estimate of all minimum hashes only
-when that is ``margin`` below the threshold (over three standard errors), and every link is
-confirmed on the full sets of both texts.
+there, each in the first tree whose row the two share, so no pair of rows is ever emitted
+but for links that join components. Regions too large for one task come in a grid of
+blocks: a share of all rows meets a share of those outside the main component. A pair is
+left out on the estimate of all minimum hashes only when that is ``margin`` below the
+threshold (over three standard errors), and every link is confirmed on the full sets of
+both texts.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def _family(n: int) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """The minimum of each of ``len(factors)`` hashes over the set."""
+    """The lower 16 bits of the minimum of each of ``len(factors)`` hashes over the set."""
     low = np.full(len(factors), np.uint32(2**32 - 1))
     h = (shingles >> np.uint64(32)).astype(np.uint32)
     for k in range(0, len(h), 4096):
@@ -50,7 +51,7 @@ def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
         x ^= x >> np.uint32(15)
         x *= np.uint32(0x2C1B3C6D)
         low = np.minimum(low, x.min(axis=1))
-    return low
+    return low.astype(np.uint16)
 
 
 def _prefix(sig: np.ndarray, depth: int) -> np.ndarray:
@@ -92,7 +93,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for b in batches:
             for k in range(0, b.num_rows, 2000):
                 part = b.slice(k, 2000)
-                sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint32).reshape(part.num_rows, trees, depths[-1])
+                sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint16).reshape(part.num_rows, trees, depths[-1])
                 keys = [_prefix(sig, d).ravel() for d in depths]
                 node = part.column("node").take(pa.array(np.repeat(np.arange(part.num_rows), trees)))
                 tree = np.tile(np.arange(trees, dtype=np.int32), part.num_rows)
@@ -154,7 +155,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 chunks = whole_groups(batches, ["tree", "depth", "key"])
             for tab, bounds in chunks:
                 node = tab.column("node").to_pylist()
-                sig = np.frombuffer(b"".join(tab.column("sig").to_pylist()), np.uint32).reshape(len(node), -1)
+                sig = np.frombuffer(b"".join(tab.column("sig").to_pylist()), np.uint16).reshape(len(node), -1)
                 out: set[tuple[bytes, bytes]] = set()
                 for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
                     if hi - lo < 2:
@@ -204,7 +205,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = saved(left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb").mapInArrow(holds, pair_type))
     parts = saved(connected_components(links))
 
-    # Round two: regions that still hold several components. ``own``: at home in the block; ``far``: to be tried against it.
+    # Round two: regions that still hold several components. A pair is of one row outside the main component (``minor``)
+    # and one of another component. Blocks hold a share of the rows as ``own`` and a share of the minor ones as ``far``.
     keys = ["tree", "depth", "key"]
 
     def parted(members: DataFrame) -> DataFrame:
@@ -212,82 +214,80 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     in_small, in_large = parted(small), parted(large)
     split = in_small.groupBy(*keys).agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select(*keys)
-    yes, no = F.lit(True), F.lit(False)
-    open_small = in_small.join(split, keys).select(*keys, F.lit(0).alias("block"), "node", "part", yes.alias("own"), yes.alias("far"))
+    yes = F.lit(True)
+    open_small = in_small.join(split, keys).select(*keys, F.lit(0).alias("block"), "node", "part", yes.alias("own"), yes.alias("far"), yes.alias("minor"))
     sizes = in_large.groupBy(*keys, "part").agg(F.count("*").alias("c"))
     main = sizes.groupBy(*keys).agg(F.max(F.struct("c", "part")).alias("m"), F.sum("c").alias("c"), F.count("*").alias("parts")).where("parts > 1")
-    main = main.select(*keys, F.col("m.part").alias("most"), F.ceil(F.col("c") / (4 * region)).cast("int").alias("blocks"))
-    dealt = in_large.join(main, keys).withColumn("home", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    minor = F.col("part") != F.col("most")
-    blocks = F.when(minor, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("home"))
-    open_large = dealt.withColumn("block", F.explode(blocks)).select(*keys, "block", "node", "part", (F.col("block") == F.col("home")).alias("own"), minor.alias("far"))
+    main = main.select(*keys, F.col("m.part").alias("most"), F.ceil(F.col("c") / (4 * region)).cast("int").alias("across"), F.ceil((F.col("c") - F.col("m.c")) / (8 * region)).cast("int").alias("down"))
+    dealt = in_large.join(main, keys).withColumn("minor", F.col("part") != F.col("most"))
+    dealt = dealt.withColumn("x", F.pmod(F.xxhash64("node"), F.col("across")).cast("int")).withColumn("y", F.pmod(F.xxhash64("node", F.lit(1)), F.col("down")).cast("int"))
+    as_own = F.transform(F.sequence(F.lit(0), F.col("down") - 1), lambda i: i * F.col("across") + F.col("x"))
+    as_far = F.when(F.col("minor"), F.transform(F.sequence(F.lit(0), F.col("across") - 1), lambda i: F.col("y") * F.col("across") + i)).otherwise(F.array().cast("array<int>"))
+    dealt = dealt.withColumn("block", F.explode(F.array_union(as_own, as_far)))
+    is_far = F.col("minor") & (F.floor(F.col("block") / F.col("across")) == F.col("y"))
+    open_large = dealt.select(*keys, "block", "node", "part", (F.col("block") % F.col("across") == F.col("x")).alias("own"), is_far.alias("far"), "minor")
     group = [*keys, "block"]
 
-    def tries(tab: pa.Table, lo: int, hi: int, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The pairs of a block to be tried, best estimate first: of different components, one at home and one far."""
-        own, far = (np.flatnonzero(np.array(tab.column(c).slice(lo, hi - lo).to_pylist(), bool)) for c in ("own", "far"))
-        part = np.unique(np.array(tab.column("part").slice(lo, hi - lo).to_pylist(), object), return_inverse=True)[1]
-        s = sig[lo:hi]
-        at_home = np.zeros(hi - lo, bool)
-        at_home[own] = True
-        found = []
-        for x in far.tolist():
-            # Two at home and far meet once, from the later one.
-            y = own[own < x] if at_home[x] else own
-            y = y[part[y] != part[x]]
-            like = (s[y] == s[x]).mean(axis=1) if len(y) else np.zeros(0)
-            keep = like >= least
-            found.append((y[keep], np.full(int(keep.sum()), x), like[keep]))
-        later = np.setdiff1d(own, far)
-        for x in np.intersect1d(own, far).tolist():
-            # One at home that is not far comes after: not met above.
-            y = later[later > x]
-            y = y[part[y] != part[x]]
-            like = (s[y] == s[x]).mean(axis=1) if len(y) else np.zeros(0)
-            keep = like >= least
-            found.append((y[keep], np.full(int(keep.sum()), x), like[keep]))
-        if not found:
-            return np.zeros(0, int), np.zeros(0, int)
-        a, b, like = (np.concatenate(v) for v in zip(*found, strict=True))
-        order = np.argsort(-like, kind="stable")
-        return a[order], b[order]
-
-    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rows of a block that some pair to be tried needs."""
+    def tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of each block that a pair to be tried needs, numbered; a far one with its partners, best estimate first."""
         for tab, bounds in whole_groups(batches, group):
-            sig = np.frombuffer(b"".join(tab.column("sig").to_pylist()), np.uint32).reshape(tab.num_rows, -1)
-            some = np.zeros(tab.num_rows, bool)
-            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-                if hi - lo > 1:
-                    for x in tries(tab, lo, hi, sig):
-                        some[lo + x] = True
-            yield from tab.filter(pa.array(some)).to_batches()
+            sig = np.frombuffer(b"".join(tab.column("sig").to_pylist()), np.uint16).reshape(tab.num_rows, trees, -1)
+            own, far, minor = (np.array(tab.column(c).to_pylist(), bool) for c in ("own", "far", "minor"))
+            names = np.array(tab.column("node").to_pylist(), object)
+            part = np.unique(np.array(tab.column("part").to_pylist(), object), return_inverse=True)[1]
+            tree = tab.column("tree").to_numpy()
+            number, used = np.zeros(tab.num_rows, np.int32), np.zeros(tab.num_rows, bool)
+            partners: list[list[int]] = [[] for _ in range(tab.num_rows)]
+            likes: list[list[int]] = [[] for _ in range(tab.num_rows)]
+            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                number[lo:hi] = np.arange(hi - lo)
+                home = lo + np.flatnonzero(own[lo:hi])
+                for x in (lo + np.flatnonzero(far[lo:hi])).tolist():
+                    # Of two minor rows only one seeks the other.
+                    y = home[part[home] != part[x]]
+                    y = y[~minor[y] | (names[y] < names[x]).astype(bool)]
+                    if not len(y):
+                        continue
+                    same = sig[y] == sig[x]
+                    like = np.count_nonzero(same.reshape(len(y), -1), axis=1)
+                    good = np.flatnonzero(like >= least * sig[x].size)
+                    # A pair that shares a whole row of an earlier tree met there.
+                    good = good[~same[good, : tree[lo]].all(axis=2).any(axis=1)]
+                    good = good[np.argsort(-like[good], kind="stable")]
+                    if len(good):
+                        used[x] = True
+                        used[y[good]] = True
+                        partners[x], likes[x] = (y[good] - lo).tolist(), like[good].tolist()
+            if used.any():
+                at = np.flatnonzero(used)
+                columns = [tab.column(c).combine_chunks().take(pa.array(at)) for c in (*group, "node", "part")]
+                lists = [pa.array([v[i] for i in at.tolist()], pa.list_(pa.int32())) for v in (partners, likes)]
+                yield pa.RecordBatch.from_arrays([*(c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns), pa.array(number[at]), *lists], [*group, "node", "part", "number", "partners", "likes"])
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The links of a block that join components."""
         for tab, bounds in whole_groups(batches, group):
-            sig = np.frombuffer(b"".join(tab.column("sig").to_pylist()), np.uint32).reshape(tab.num_rows, -1)
-            node, part, full_sets = (tab.column(c).to_pylist() for c in ("node", "part", "s"))
+            node, part, number, partners, likes, full_sets = (tab.column(c).to_pylist() for c in ("node", "part", "number", "partners", "likes", "s"))
             out = []
-            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-                if hi - lo < 2:
-                    continue
+            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 top, join = roots(hi - lo)
                 home: dict[bytes, int] = {}
                 for i in range(hi - lo):
                     join(home.setdefault(part[lo + i], i), i)
+                where = {number[i]: i - lo for i in range(lo, hi)}
                 shingles = [np.frombuffer(x, np.uint64) for x in full_sets[lo:hi]]
-                for x, y in zip(*(v.tolist() for v in tries(tab, lo, hi, sig)), strict=True):
+                pairs = [(-k, i - lo, where[y]) for i in range(lo, hi) for k, y in zip(likes[i], partners[i], strict=True)]
+                for _, x, y in sorted(pairs):
                     if top(x) != top(y) and linked(shingles[x], shingles[y]):
                         join(x, y)
                         out.append((node[lo + x], node[lo + y]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["a", "b"])
 
-    row = "tree int, depth int, key bigint, block int, node binary, part binary, own boolean, far boolean, sig binary"
-    signed = open_small.union(open_large).join(distinct.select("node", "sig"), "node").select(*group, "node", "part", "own", "far", "sig")
-    rest = saved(signed.repartition(*group).sortWithinPartitions(*group).mapInArrow(needed, row))
-    brought = rest.join(sets, "node").select(*group, "node", "part", "own", "far", "sig", "s").repartition(*group).sortWithinPartitions(*group)
+    row = "tree int, depth int, key bigint, block int, node binary, part binary, number int, partners array<int>, likes array<int>"
+    signed = open_small.union(open_large).join(distinct.select("node", "sig"), "node").select(*group, "node", "part", "own", "far", "minor", "sig")
+    rest = saved(signed.repartition(*group).sortWithinPartitions(*group).mapInArrow(tries, row))
+    brought = rest.join(sets, "node").select(*group, "node", "part", "number", "partners", "likes", "s").repartition(*group).sortWithinPartitions(*group)
     more = saved(brought.mapInArrow(settle, pair_type))
     if not more.isEmpty():
         parts = saved(connected_components(links.union(more)))
