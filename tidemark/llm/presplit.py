@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import unicodedata
 
+import numpy as np
+import pyarrow as pa
 import regex
 
 #: Text of these characters alone is split by the standard library, which is faster; there both agree.
@@ -13,9 +15,12 @@ _PLAIN = re.compile("[^\t\n\x0b\x0c\r\x20-\x7eÀ-ÖØ-öø-ɏ]")
 # The patterns of the two published vocabularies.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 _WORD_PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
-_BYTE_PLAIN = r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[!-/:-@\[-`{-~]+|\s+(?!\S)|\s+"
 
-_word, _word_plain, _byte_plain = regex.compile(WORD_PATTERN), re.compile(_WORD_PLAIN), re.compile(_BYTE_PLAIN)
+_word, _word_plain = regex.compile(WORD_PATTERN), re.compile(_WORD_PLAIN)
+
+#: Kinds of the bytes of plain text; those above 127 are of letters.
+_SIGN, _WHITE, _DIGIT, _LETTER, _QUOTE = range(5)
+_KIND = np.array([_LETTER if b > 127 or chr(b).isalpha() else _DIGIT if chr(b).isdigit() else _WHITE if b in (9, 10, 11, 12, 13, 32) else _QUOTE if b == 39 else _SIGN for b in range(256)], np.uint8)
 
 
 def lower_case_words(text: str) -> list[str]:
@@ -26,9 +31,35 @@ def lower_case_words(text: str) -> list[str]:
     return _word_plain.findall(text.lower())
 
 
-def byte_level_words(text: str) -> list[str] | None:
-    """The words of a text with their leading space; None if it holds characters outside the plain ones."""
-    return None if _PLAIN.search(text) else _byte_plain.findall(text)
+def is_plain(text: str) -> bool:
+    return not _PLAIN.search(text)
+
+
+def byte_level_pieces(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """Plain texts cut where the byte-level pattern is sure to start a word, and where each text's pieces start.
+
+    That is: before white space after something else; between letters, digits and signs, but not beside an
+    apostrophe; after one white space character, not a space, that stands alone. A word never crosses such a
+    place and white space before it has its end in the piece, so pieces are split as the whole text is.
+    """
+    data = [x.encode() for x in texts]
+    at = np.concatenate([[0], np.cumsum([len(x) for x in data], dtype=np.int64)])
+    text = np.frombuffer(b"".join(data), np.uint8)
+    kind = _KIND[text]
+    white = kind == _WHITE
+    cut = np.zeros(len(text), bool)
+    cut[1:] = (kind[1:] != kind[:-1]) & ~white[:-1] & (white[1:] | (kind[1:] != _QUOTE) & (kind[:-1] != _QUOTE))
+    alone = white & (text != 32)
+    alone[1:] &= ~white[:-1]
+    cut[1:] |= alone[:-1] & ~white[1:]
+    # What a text's first character follows is of another text.
+    first = at[:-1][at[1:] > at[:-1]]
+    cut[first] = True
+    second = first[first + 1 < len(text)]
+    cut[second + 1] |= white[second] & (text[second] != 32) & ~white[second + 1]
+    starts = np.flatnonzero(cut)
+    offsets = pa.py_buffer(np.concatenate([starts, [len(text)]]).astype(np.int64))
+    return pa.LargeStringArray.from_buffers(len(starts), offsets, pa.py_buffer(text)), np.searchsorted(starts, at)
 
 
 def byte_letters() -> list[str]:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .presplit import byte_level_words
+from .presplit import byte_level_pieces, is_plain
 
 #: For every control byte the lengths of its four codes.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
@@ -53,7 +53,7 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 class Words(dict):
-    """Words -> ids as bytes by the library; it forgets all words when it holds ``most``."""
+    """Pieces of texts -> their place in the ids that the library gives them; it forgets all when it holds ``most``."""
 
     def __init__(self, spec: str, most: int = 1_000_000) -> None:
         from tokenizers import Tokenizer
@@ -64,35 +64,54 @@ class Words(dict):
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.clear()
 
-    def learn(self, words: list[str]) -> None:
+    def clear(self) -> None:
+        super().clear()
+        self.ids, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def learn(self, words: list[bytes]) -> None:
         """Words that begin with one space keep apart when they are joined, so they are encoded as one text."""
         joined, single = [], []
         for w in words:
-            (joined if len(w) > 1 and w[0] == " " and not w[1].isspace() else single).append(w)
-        for k in range(0, len(joined), 20_000):
-            part = joined[k : k + 20_000]
-            e = self.tokenizer.encode("".join(part), add_special_tokens=False)
-            ids = np.array(e.ids, np.uint32).tobytes()
-            ends = np.cumsum(np.bincount(np.array(e.word_ids), minlength=len(part))).tolist()
-            if len(ends) != len(part):
+            (joined if len(w) > 1 and w[0] == 32 and not w[1:2].isspace() and b"'" not in w else single).append(w)
+        ids, counts = [self.ids], [self.counts]
+        for k in range(0, len(joined), 100):
+            part = joined[k : k + 100]
+            e = self.tokenizer.encode(b"".join(part).decode(), add_special_tokens=False)
+            ids.append(np.array(e.ids, np.uint32))
+            counts.append(np.bincount(np.array(e.word_ids, np.int64), minlength=len(part)))
+            if len(counts[-1]) != len(part):
                 raise ValueError("the tokenizer does not split the joined words as it splits the text")
-            at = 0
-            for w, end in zip(part, ends, strict=True):
-                self[w] = ids[4 * at : 4 * end]
-                at = end
-        for w, e in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False), strict=True):
-            self[w] = np.array(e.ids, np.uint32).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if any(s in x for s in self.special) else byte_level_words(x) for x in texts]
-        seen = set().union(*filter(None, split))
-        new = seen.difference(self)
+        for e in self.tokenizer.encode_batch_fast([w.decode() for w in single], add_special_tokens=False):
+            ids.append(np.array(e.ids, np.uint32))
+            counts.append(np.array([len(e.ids)], np.int64))
+        self.update(zip(joined + single, range(len(self), len(self) + len(words)), strict=True))
+        self.ids, self.counts = np.concatenate(ids), np.concatenate(counts)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        plain = [i for i, x in enumerate(texts) if is_plain(x) and not any(s in x for s in self.special)]
+        pieces, bounds = byte_level_pieces([texts[i] for i in plain])
+        code = pieces.dictionary_encode()
+        _, at, data = code.dictionary.buffers()
+        at = np.frombuffer(at, np.int64)[: len(code.dictionary) + 1].tolist()
+        data = data.to_pybytes() if data else b""
+        names = [data[lo:hi] for lo, hi in zip(at[:-1], at[1:], strict=True)]
+        new = [w for w in names if w not in self]
         if len(self) + len(new) > self.most:
             self.clear()
-            new = seen
-        self.learn(list(new))
-        return [b"".join(map(self.__getitem__, ws)) if ws is not None else np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, np.uint32).tobytes() for x, ws in zip(texts, split, strict=True)]
+            new = names
+        self.learn(new)
+        place = np.fromiter(map(self.__getitem__, names), np.int64, len(names))[code.indices.to_numpy()]
+        n = self.counts[place]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        starts = np.cumsum(self.counts) - self.counts
+        found = self.ids[np.repeat(starts[place] - ends[:-1], n) + np.arange(ends[-1])]
+        out: list = [None] * len(texts)
+        for i, lo, hi in zip(plain, ends[bounds[:-1]].tolist(), ends[bounds[1:]].tolist(), strict=True):
+            out[i] = found[lo:hi]
+        return [np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, np.uint32) if ids is None else ids for x, ids in zip(texts, out, strict=True)]
 
 
 @lru_cache(1)
@@ -114,11 +133,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, id_col: str =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(spec.value)
         wide = words.size > 1 << 16 or end_id >= 1 << 16
-        end = np.uint32(end_id).tobytes()
+        end = np.array([end_id], np.uint32)
         for whole in batches:
-            for k in range(0, whole.num_rows, 500):
-                b = whole.slice(k, 500)
-                got = [np.frombuffer(x + end, np.uint32) for x in words.encode([x or "" for x in b.column("text").to_pylist()])]
+            for k in range(0, whole.num_rows, 1000):
+                b = whole.slice(k, 1000)
+                got = [np.concatenate([x, end]) for x in words.encode([x or "" for x in b.column("text").to_pylist()])]
                 yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([x.astype("<u4" if wide else "<u2").tobytes() for x in got], pa.binary()), pa.array([wide] * len(got), pa.bool_())], ["id", "ids", "wide"])
 
     staged = f"{path}/staged"
