@@ -178,6 +178,21 @@ def test_token_files_equal_library(spark, tables, tmp_path):
     assert token_files.read_token_files(spark, empty).count() == 0
 
 
+def test_pieces_encode_as_the_library():
+    """White space of every kind, contractions, signs and special tokens, cut anywhere; a small memory that is cleared."""
+    pick = random.Random(3)
+    parts = ["a", "Bc", " ", "  ", "\n", "\t", "\r\n", "'", "'s", "'LL", "1", "23", ".", "-", "_", "é", "\x0b", " don't", "\u00a0", "中", "<|endoftext|>"]
+    with open(BYTE, encoding="utf-8") as f:
+        spec = f.read()
+    library = Tokenizer.from_str(spec)
+    for most in (10**6, 50):
+        words_of = token_files.Words(spec, most)
+        for _ in range(3):
+            texts = ["".join(pick.choice(parts[:-3] if pick.random() < 0.8 else parts) for _ in range(pick.randrange(14))) for _ in range(1000)] + [""]
+            assert [x.tolist() for x in words_of.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert words_of.encode([]) == []
+
+
 def test_codes_of_every_length():
     x = np.array([0, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1, 7], np.uint32)
     for n in range(len(x) + 1):
