@@ -240,6 +240,26 @@ def test_near_equals_brute_force_on_a_star(spark):
         assert all(got[i] == (sizes[i - 1], i, True) for i in missed) and len(missed) <= (0 if region == 64 else 0.02 * len(texts)), missed
 
 
+def test_near_finds_all_at_the_threshold_of_a_crowd(spark):
+    """Texts that barely reach one other, in regions crowded by close copies of it."""
+    pick = random.Random(7)
+    base = [f"w{i}" for i in range(163)]
+    texts = [" ".join(base)]
+    # An edit away from others changes four shingles: 160 - 4 k of 160 + 4 k stay, 0.905 at two and 0.818 at four edits.
+    for k in [1] * 300 + [4] * 1200:
+        copy = list(base)
+        for i in range(k):
+            copy[4 + i * 39 + pick.randrange(32)] = f"v{pick.randrange(10**9)}"
+        texts.append(" ".join(copy))
+    _, part = _near_brute([texts[0], *texts[-50:]], 4)
+    assert set(part.values()) == {1}
+    got = near_dedup(_docs(spark, texts), shingle=4).select("component_id").collect()
+    assert [r.component_id for r in got] == [1] * len(texts)
+    # Regions of more than 256 cut at the last depth: 0.9994 of such pairs meet there, or in the sorted order.
+    got = near_dedup(_docs(spark, texts), shingle=4, grid=256).select("component_id").collect()
+    assert sum(r.component_id != 1 for r in got) <= 3
+
+
 def test_near_edges(spark):
     assert near_dedup(_docs(spark, ["a"]).where("false")).count() == 0
     none = _docs(spark, ["a b c d e f", "a b c d e f"]).withColumn("doc_id", F.lit(None).cast("long"))

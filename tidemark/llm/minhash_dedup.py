@@ -3,8 +3,10 @@
 A document is the set of its distinct word shingles. Every tree of the forest sorts the
 documents by its own sequence of minimum hashes; documents with a long common prefix are
 candidates. The depth adapts to the region: a prefix of ``depths[0]`` values is enough
-where few documents share it, and a region with more than ``region`` documents is split by
-longer prefixes. A region still large at full depth is walked in sorted order, each
+where up to ``grid`` documents share it, and only a larger region is cut by longer prefixes, the
+last of any size. So that no document of a region that was cut is left with a longer prefix that
+few others have, all of them also meet their neighbours in the region's sorted order, in
+overlapping stretches. A region of more than ``region`` documents is walked in sorted order, each
 document against its neighbours, and whatever that leaves unlinked is compared with the
 whole region in the second round.
 
@@ -22,18 +24,22 @@ both texts.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, saved, whole_groups
 from .shingles import mixed, shingle_sets
 
-#: Depths at which a region may be cut; a tree has as many hashes as the last.
-DEPTHS = (3, 5, 8)
+#: Depths at which a region may be cut.
+DEPTHS = (3, 5)
+#: Hashes of a tree.
+WIDTH = 8
 TREES = 20
 
 
@@ -62,7 +68,7 @@ def _prefix(sig: np.ndarray, depth: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = TREES, depths: tuple[int, ...] = DEPTHS, region: int = 64, margin: float = 0.1) -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = TREES, depths: tuple[int, ...] = DEPTHS, width: int = WIDTH, region: int = 64, grid: int = 4096, margin: float = 0.1) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept.
 
     Documents link when ``100 * |A & B| >= percent * |A | B|`` of their shingle sets; a component is
@@ -71,7 +77,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     component of only such rows has a null component_id and is not kept. Other columns are
     ignored. An empty table gives an empty result.
     """
-    factors = _family(trees * depths[-1])
+    factors = _family(trees * width)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,23 +99,46 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for b in batches:
             for k in range(0, b.num_rows, 2000):
                 part = b.slice(k, 2000)
-                sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint16).reshape(part.num_rows, trees, depths[-1])
+                sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint16).reshape(part.num_rows, trees, width)
                 keys = [_prefix(sig, d).ravel() for d in depths]
                 node = part.column("node").take(pa.array(np.repeat(np.arange(part.num_rows), trees)))
                 tree = np.tile(np.arange(trees, dtype=np.int32), part.num_rows)
                 yield pa.RecordBatch.from_arrays([node, pa.array(tree), *map(pa.array, keys)], ["node", "tree", *names])
 
     open_rows = distinct.select("node", "sig").mapInArrow(plant, "node binary, tree int, " + ", ".join(f"{k} bigint" for k in names))
-    found = []
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row of sorted regions in two stretches of up to 128 rows, which overlap by half and are regions of their own."""
+        at = TaskContext.get().partitionId() << 40
+        for b in batches:
+            pos = at + np.arange(b.num_rows)
+            at += b.num_rows
+            for k in (0, 1):
+                # The key tells the region too, so a stretch ends with it; its depth is none of a tree's.
+                key = mixed(b.column("key").to_numpy().view(np.uint64) + mixed((pos // 64 + k).astype(np.uint64) * np.uint64(2) + np.uint64(1)))
+                yield pa.RecordBatch.from_arrays([b.column("node"), b.column("tree"), pa.array(np.full(b.num_rows, -1, np.int32)), pa.array(key.view(np.int64))], ["node", "tree", "depth", "key"])
+
+    def neighbours(members: DataFrame) -> DataFrame:
+        """The stretches of regions too large to be compared whole: rows with long common prefixes lie side by side."""
+        part = members.join(distinct.select("node", "sig"), "node")
+        part = part.withColumn("row", F.substring(F.col("sig"), F.col("tree") * (2 * width) + 1, F.lit(2 * width))).drop("sig")
+        order = ["tree", "depth", "key", "row", "node"]
+        part = part.repartitionByRange(*order).sortWithinPartitions(*order)
+        return saved(part.select("node", "tree", "key").mapInArrow(stretches, "node binary, tree int, depth int, key bigint"))
+
+    found, crowded = [], []
     for depth, name in zip(depths, names, strict=True):
         counts = open_rows.groupBy("tree", name).agg(F.count("*").alias("c")).where("c > 1")
         shared = saved(open_rows.join(counts, ["tree", name]).select("node", "tree", *names, "c"))
-        found.append(shared.where(F.col("c") <= region).select("node", "tree", F.lit(depth).alias("depth"), F.col(name).alias("key")))
-        open_rows = shared.where(F.col("c") > region).drop("c")
-    large = saved(open_rows.select("node", "tree", F.lit(depths[-1]).alias("depth"), F.col(names[-1]).alias("key")))
-    small = found[0]
-    for f in found[1:]:
-        small = small.union(f)
+        members = shared.select("node", "tree", F.lit(depth).alias("depth"), F.col(name).alias("key"), "c")
+        found.append(members.where(F.col("c") <= region).drop("c"))
+        cut = (F.col("c") > max(region, grid)) & F.lit(depth != depths[-1])
+        crowded.append(members.where((F.col("c") > region) & ~cut).drop("c"))
+        if depth != depths[-1]:
+            found.append(neighbours(members.where(cut).drop("c")))
+            open_rows = shared.where(cut).drop("c")
+    large = saved(reduce(DataFrame.union, crowded))
+    small = reduce(DataFrame.union, found)
     least = percent / 100 - margin
 
     def grouped(members: DataFrame, big: bool) -> DataFrame:
@@ -117,7 +146,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         part = members.join(distinct.select("node", "sig"), "node")
         keys = ["tree", "depth", "key"]
         if big:
-            return part.repartitionByRange(*keys, "sig", "node").sortWithinPartitions(*keys, "sig", "node")
+            order = [*keys, F.substring(F.col("sig"), F.col("tree") * (2 * width) + 1, F.lit(2 * width)), "sig", "node"]
+            return part.repartitionByRange(*order).sortWithinPartitions(*order)
         return part.repartition(*keys).sortWithinPartitions(*keys, "sig", "node")
 
     def roots(n: int):
@@ -251,8 +281,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     same = sig[y] == sig[x]
                     like = np.count_nonzero(same.reshape(len(y), -1), axis=1)
                     good = np.flatnonzero(like >= least * sig[x].size)
-                    # A pair that shares a whole row of an earlier tree met there.
-                    good = good[~same[good, : tree[lo]].all(axis=2).any(axis=1)]
+                    # A pair that shares the deepest prefix of an earlier tree met there.
+                    good = good[~same[good, : tree[lo], : depths[-1]].all(axis=2).any(axis=1)]
                     good = good[np.argsort(-like[good], kind="stable")]
                     if len(good):
                         used[x] = True
