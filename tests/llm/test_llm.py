@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -20,7 +21,7 @@ from tidemark.llm import bpe, chat, common, queries, token_files
 from tidemark.llm.embedding_dedup import embedding_near_dedup
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language import language
-from tidemark.llm.minhash_dedup import near_dedup
+from tidemark.llm.minhash_dedup import TREES, WIDTH, _family, least_equal, near_dedup, signature
 from tidemark.llm.mixing import mix
 from tidemark.llm.quality import marginals, quality
 from tidemark.llm.shingles import shingle_sets, word_hashes, words
@@ -260,6 +261,26 @@ def test_near_finds_all_at_the_threshold_of_a_crowd(spark):
     assert sum(r.component_id != 1 for r in got) <= 3
 
 
+def test_near_tries_pairs_five_standard_errors_below(spark):
+    """A pair above the threshold whose hashes agree far less often than its sets do."""
+    n = TREES * WIDTH
+    least = least_equal(n, 80, 5.0)
+    assert least == 102 and sum(math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(least)) < 1e-6
+    factors = _family(n)
+    pick = random.Random(1)
+    for _ in range(20_000):
+        copy = [f"w{pick.randrange(10**9)}" for _ in range(163)]
+        texts = [" ".join(copy)]
+        for i in range(4):
+            copy[10 + 40 * i] = "v"
+        texts.append(" ".join(copy))
+        a, b = shingle_sets(pa.array(texts), 4)
+        if np.count_nonzero(signature(a, factors) == signature(b, factors)) <= 112:
+            break
+    assert 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+    assert [r.component_id for r in near_dedup(_docs(spark, texts), shingle=4).collect()] == [1, 1]
+
+
 def test_near_edges(spark):
     assert near_dedup(_docs(spark, ["a"]).where("false")).count() == 0
     none = _docs(spark, ["a b c d e f", "a b c d e f"]).withColumn("doc_id", F.lit(None).cast("long"))

@@ -16,13 +16,13 @@ region that still holds several components into one task and tries every remaini
 there, each in the first tree whose row the two share, so no pair of rows is ever emitted
 but for links that join components. Regions too large for one task come in a grid of
 blocks: a share of all rows meets a share of those outside the main component. A pair is
-left out on the estimate of all minimum hashes only when that is ``margin`` below the
-threshold (over three standard errors), and every link is confirmed on the full sets of
-both texts.
+left out on the estimate of all minimum hashes only when that is more than ``errors`` standard
+errors below the threshold, and every link is confirmed on the full sets of both texts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -68,7 +68,13 @@ def _prefix(sig: np.ndarray, depth: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = TREES, depths: tuple[int, ...] = DEPTHS, width: int = WIDTH, region: int = 64, grid: int = 4096, margin: float = 0.1) -> DataFrame:
+def least_equal(n: int, percent: int, errors: float) -> int:
+    """Of ``n`` hashes so many are equal at least, unless the estimate is over ``errors`` standard errors below the threshold."""
+    p = percent / 100
+    return max(0, math.floor(n * p - errors * math.sqrt(n * p * (1 - p))))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = TREES, depths: tuple[int, ...] = DEPTHS, width: int = WIDTH, region: int = 64, grid: int = 4096, errors: float = 5.0) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept.
 
     Documents link when ``100 * |A & B| >= percent * |A | B|`` of their shingle sets; a component is
@@ -139,7 +145,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             open_rows = shared.where(cut).drop("c")
     large = saved(reduce(DataFrame.union, crowded))
     small = reduce(DataFrame.union, found)
-    least = percent / 100 - margin
+    least = least_equal(trees * width, percent, errors)
 
     def grouped(members: DataFrame, big: bool) -> DataFrame:
         """Members with signatures, regions together; a large one in stretches of its sorted order, dealt by ranges."""
@@ -169,7 +175,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def alike(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The pairs of rows that may reach the threshold, best estimate first."""
-        like = np.concatenate([(sig[i] == sig[i + 1 :]).mean(axis=1) for i in range(len(sig) - 1)])
+        like = np.concatenate([np.count_nonzero(sig[i] == sig[i + 1 :], axis=1) for i in range(len(sig) - 1)])
         a, b = np.triu_indices(len(sig), 1)
         order = np.argsort(-like, kind="stable")
         order = order[like[order] >= least]
@@ -280,7 +286,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         continue
                     same = sig[y] == sig[x]
                     like = np.count_nonzero(same.reshape(len(y), -1), axis=1)
-                    good = np.flatnonzero(like >= least * sig[x].size)
+                    good = np.flatnonzero(like >= least)
                     # A pair that shares the deepest prefix of an earlier tree met there.
                     good = good[~same[good, : tree[lo], : depths[-1]].all(axis=2).any(axis=1)]
                     good = good[np.argsort(-like[good], kind="stable")]
