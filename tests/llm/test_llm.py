@@ -25,7 +25,7 @@ from tidemark.llm.minhash_dedup import TREES, WIDTH, _family, least_equal, near_
 from tidemark.llm.mixing import mix
 from tidemark.llm.quality import marginals, quality
 from tidemark.llm.shingles import shingle_sets, word_hashes, words
-from tidemark.llm.toxicity import fit, toxicity
+from tidemark.llm.toxicity import IDENTITY, _swaps, fit, set_in, toxicity, word_features
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 DOC = "doc_id long, text string, lang string, source string, n_chars long, digest string, id string, content string, n int"
@@ -332,6 +332,17 @@ def test_swaps_even_out_identity_terms():
     assert tied[bad] > 1
 
 
+def test_every_pair_of_identity_terms_is_set_in():
+    assert {set_in(doc) for doc in range(20_000)} == {(a, b) for line in IDENTITY for a in line for b in line if a != b}
+    pairs = {tuple(map(tuple, p)) for doc in range(20_000) for p in _swaps("no term", doc)}
+    assert {(tuple(word_features(a)), tuple(word_features(b))) for a, b in (("christians", "muslims"), ("queer", "straight"), ("old", "young"))} <= pairs
+
+
+def test_every_identity_sentence_is_swapped():
+    got = _swaps("Women ran. " * 3 + "Nobody else. " + "A muslim sang.\n" * 4, 5)
+    assert len(got) == 7 and all(a != b for a, b in got)
+
+
 def test_quality_held_out(spark):
     m = _scored(spark, "op8_quality", "quality", "/root/testdata/sf0.1")
     assert (m.predicted == m.quality).mean() >= 0.98

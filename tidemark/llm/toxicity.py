@@ -56,21 +56,29 @@ def _words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return code.dictionary.to_pylist(), code.indices.to_numpy(), offsets - offsets[0]
 
 
-def _swaps(text: str, doc: int, most: int) -> list[tuple[list[int], list[int]]]:
-    """Features of up to ``most`` sentences with identity terms, as they stand and with the terms swapped."""
+def set_in(doc: int) -> tuple[str, str]:
+    """Two terms of a kind; the kind and both terms come from separate bits of a hash of the id."""
+    h = xxhash.xxh3_64_intdigest(str(doc))
+    line = IDENTITY[(h >> 32) % len(IDENTITY)]
+    first, step = (h & 0xFFFF) % len(line), 1 + (h >> 16 & 0xFFFF) % (len(line) - 1)
+    return line[first], line[(first + step) % len(line)]
+
+
+def _swaps(text: str, doc: int) -> list[tuple[list[int], list[int]]]:
+    """Features of all sentences with identity terms, as they stand and with the terms swapped."""
     out = []
     for n, s in enumerate(x for x in text.lower().replace("\n", ".").split(".") if x):
         words = [w.strip(_EDGE) for w in s.split()]
         at = [i for i, w in enumerate(words) if w in _KIND]
-        if at and len(out) < most:
+        if at:
             other = list(words)
             for i in at:
                 line = IDENTITY[_KIND[words[i]]]
                 other[i] = line[(line.index(words[i]) + 1 + (doc + n) % (len(line) - 1)) % len(line)]
             out.append(tuple([f for w in set(x) for f in word_features(w)] for x in (words, other)))
     if not out:
-        line = IDENTITY[doc % len(IDENTITY)]
-        out.append((word_features(line[0]), word_features(line[1 + doc % (len(line) - 1)])))
+        a, b = set_in(doc)
+        out.append((word_features(a), word_features(b)))
     return out
 
 
@@ -133,7 +141,7 @@ def fit(rows: list[dict], kept_z: float = 4.0, sparse: float = 0.5, even: float
     return kept[on], w[on], b
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 10_000, swaps: int = 4) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 10_000) -> DataFrame:
     """One row per document: id, score in [0, 1].
 
     ``train`` says which rows' labels may be learned. Rows without a label are not learned from; a
@@ -154,7 +162,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "d
                 feats, pairs = [], []
                 for i, (lo, hi) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
                     feats.append(sorted({f for c in set(code[lo:hi].tolist()) for f in own[c]}))
-                    pairs.append([list(p) for p in _swaps(b.column("text")[i].as_py() or "", b.column("id")[i].as_py(), swaps)])
+                    pairs.append([list(p) for p in _swaps(b.column("text")[i].as_py() or "", b.column("id")[i].as_py())])
                 yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(feats, pa.list_(pa.int32())), pa.array(pairs, pa.list_(pa.list_(pa.list_(pa.int32()))))], ["label", "features", "swaps"])
 
     known = rows.join(F.broadcast(chosen), "id").select("id", "text", "label").mapInArrow(featurise, "label int, features array<int>, swaps array<array<array<int>>>").toArrow().to_pylist()
