@@ -419,3 +419,33 @@ def test_pipeline(spark, tables):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, extra.where("false"), tables).collect()
         stage(spark, extra, tables).collect()
+
+
+def test_pipeline_stages_equal_plain_python(spark):
+    """The rows of the duplicate and token stages, each from the stage's own input."""
+    stages, pick = dict(corpus_pipeline.STAGES), random.Random(4)
+    texts = [None, "", " ", "one", "hot text", "hot  text", "hottext", "hot text"]
+    for _ in range(12):
+        base = [f"w{pick.randrange(500)}" for _ in range(120)]
+        copy, other = list(base), list(base)
+        copy[60] = "edited"
+        other[10::12] = ["x"] * len(other[10::12])
+        texts += [" ".join(x) for x in (base, copy, other)] + ["  ".join(base)]
+    pick.shuffle(texts)
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    plain = lambda df: sorted(tuple(r) for r in df.select("doc_id", "text").collect())
+    docs = _docs(spark, texts).select(*columns)
+
+    exact = stages["exact_dedup"](spark, docs, "")
+    before = plain(docs)
+    assert plain(exact) == [r for r in before if _exact_brute(before)[r[0]][2]]
+
+    before = plain(exact)
+    _, part = _near_brute([t for _, t in before], 5)
+    near = stages["near_dedup"](spark, exact, "")
+    assert plain(near) == [r for k, r in enumerate(before, 1) if part[k - 1] == k]
+    assert 12 < near.count() < len(before) < len(texts)
+
+    t = _tokenizer(WORD)
+    want = {i: t.encode(x or "", add_special_tokens=False).ids for i, x in before}
+    assert {r.doc_id: (r.n_tokens, r.ids) for r in stages["bpe"](spark, exact, "").collect()} == {i: (len(ids), ids) for i, ids in want.items()}
