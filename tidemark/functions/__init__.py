@@ -8,10 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Types whose increments are compared as times or as numbers.
-TIME_TYPES = ["date", "datetime", "timestamp", "timestampz", "time", "timez", "smalldatetime", "datetime2", "datetimeoffset"]
+TIME_TYPES = ["date", "datetime", "timestamp", "timestampz", "timestamptz", "time", "timez", "timetz", "smalldatetime", "datetime2", "datetimeoffset"]
 NUMBER_TYPES = ["interval", "smallserial", "serial", "bigserial", "bit", "integer", "int", "tinyint", "smallint", "mediumint", "bigint", "int2", "int8", "long", "byteint", "unsigned", "real", "double", "float", "numeric", "money", "smallmoney", "number", "decimal"]
 # Element types of declared arrays by their internal name.
-ARRAY_TYPES = {"_int4": "INTEGER[]", "_int8": "BIGINT[]", "_boolean": "BOOLEAN[]", "_float8": "DOUBLE PRECISION[]", "_numeric": "NUMERIC[]", "_timestamp": "TIMESTAMP[]", "_date": "DATE[]", "_time": "TIME[]", "_bpchar": "CHAR[]", "_text": "TEXT[]"}
+ARRAY_TYPES = {"_int4": "INTEGER[]", "_int8": "BIGINT[]", "_boolean": "BOOLEAN[]", "_float8": "FLOAT[]", "_numeric": "NUMERIC[]", "_timestamp": "TIMESTAMP[]", "_date": "DATE[]", "_time": "TIME[]", "_bpchar": "CHARACTER[]", "_text": "TEXT[]"}
 FIRST_TIME, FIRST_NUMBER = "0001-01-01 00:00:00", "0"
 
 
@@ -21,14 +21,14 @@ def mask(value: Column, letter: str = "X", digit: str = "9") -> Column:
 
 
 def text_form(value: Column, kind: str) -> Column:
-    """The text a change log carries: ``1``/``0`` for a boolean, hex for bytes, else the cast; null stays null."""
+    """What a change log carries: ``1``/``0`` for a boolean, bytes as they are, else the text; null stays null."""
     if kind == "boolean":
         return F.when(value, "1").when(~value, "0")
-    return F.hex(value) if kind == "binary" else value.cast("string")
+    return value if kind == "binary" else value.cast("string")
 
 
 def epoch_millis(value: Column, kind: str = "string") -> Column:
-    """Milliseconds since 1970 of a time; of text an ISO time or a number; null if neither."""
+    """Milliseconds since 1970 of a time; of text an ISO time or a number; null if neither, so it sorts below every value."""
     if kind in ("timestamp", "timestamp_ntz", "date"):
         return F.unix_millis(value.cast("timestamp"))
     if kind != "string":
@@ -49,6 +49,7 @@ def definition_type(definition: Column) -> Column:
 
 
 def definition_nullable(definition: Column) -> Column:
+    """Whether a column definition allows nulls: it does unless it says ``not null``; null for a null definition."""
     return ~F.lower(definition).contains("not null")
 
 
@@ -64,9 +65,9 @@ def key_class(declared: Column) -> Column:
     return F.when(word.isin(TIME_TYPES), "TIMESTAMP").when(word.isin(NUMBER_TYPES), "NUMERIC").otherwise("INVALID")
 
 
-def initial_value(kind: Column) -> Column:
-    """The checkpoint before the first read."""
-    return F.when(kind == "TIMESTAMP", FIRST_TIME).otherwise(FIRST_NUMBER)
+def initial_value(kind: Column, iso: bool = False) -> Column:
+    """The checkpoint before the first read; ``iso``: times in the form that files and documents use."""
+    return F.when(kind == "TIMESTAMP", FIRST_TIME.replace(" ", "T") + "Z" if iso else FIRST_TIME).otherwise(FIRST_NUMBER)
 
 
 def nullability(value: Column) -> Column:
@@ -85,8 +86,10 @@ def declared_type(data_type: Column, udt: Column, length: Column, precision: Col
 
 
 def read_type(keys: Column, method: Column) -> Column:
+    """SNAPSHOT + LOG_BASED for that method, else INCREMENTAL if there are keys, else (no or null keys) SNAPSHOT."""
     return F.when(method == "LOG_BASED", "SNAPSHOT + LOG_BASED").when(keys != "", "INCREMENTAL").otherwise("SNAPSHOT")
 
 
 def any_of(conditions: list[Column]) -> Column:
+    """The OR of at least one condition."""
     return reduce(lambda a, b: a | b, conditions)

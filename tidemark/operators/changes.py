@@ -5,6 +5,8 @@ Operations: I insert, U update (the whole row after it), D delete, R replace (as
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,30 +33,36 @@ def checked(changes: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def latest(changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last record of each key by ``order``: a hash aggregate that combines on the map side, so a hot key is one row a task."""
+    """The last record of each key by ``order``; of records equal in order any one.
+
+    An aggregate that combines on the map side, so a hot key is one row a task after it. As it carries whole rows
+    it sorts by key, on both sides of the shuffle, and spills where memory is short. Null keys are keys.
+    """
     rest = [c for c in changes.columns if c not in keys]
     return changes.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*order)).alias("_r")).select(*keys, *[F.col(f"_r.`{c}`").alias(c) for c in rest]).select(*changes.columns)
 
 
-def mask(df: DataFrame, columns: list[str], letter: str = "X", digit: str = "9") -> DataFrame:
-    """``df`` with the named columns masked; names are compared without case."""
+def mask(df: DataFrame, columns: list[str], letter: str = "X", digit: str = "9", masker: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``df`` with the named columns masked, by ``masker`` where one is given; names are compared without case, unknown ones ignored."""
     hidden = {c.lower() for c in columns}
-    return df.select(*[mask_value(F.col(f"`{c}`"), letter, digit).alias(c) if c.lower() in hidden else F.col(f"`{c}`") for c in df.columns])
+    masker = masker or (lambda value: mask_value(value, letter, digit))
+    return df.select(*[masker(F.col(f"`{c}`")).alias(c) if c.lower() in hidden else F.col(f"`{c}`") for c in df.columns])
 
 
-def mask_document(df: DataFrame, column: str, fields: list[str], letter: str = "X", digit: str = "9") -> DataFrame:
+def mask_document(df: DataFrame, column: str, fields: list[str], letter: str = "X", digit: str = "9", masker: Callable[[Column], Column] | None = None) -> DataFrame:
     """JSON objects with every top-level value as text, the named ones masked; a null value stays null."""
     parsed = F.from_json(F.col(column), "map<string,string>")
-    hidden = F.transform_values(parsed, lambda k, v: F.when(k.isin(*fields), mask_value(v, letter, digit)).otherwise(v))
+    masker = masker or (lambda value: mask_value(value, letter, digit))
+    hidden = F.transform_values(parsed, lambda k, v: F.when(k.isin(*fields), masker(v)).otherwise(v))
     return df.withColumn(column, F.to_json(hidden, {"ignoreNullFields": "false"}))
 
 
 def normalize_values(df: DataFrame) -> DataFrame:
-    """Every column in the text form of the change log."""
+    """Every column in the form of the change log: text, but for bytes."""
     return df.select(*[text_form(F.col(f"`{c}`"), kind).alias(c) for c, kind in df.dtypes])
 
 
 def counts(df: DataFrame, batch: str | Column, key: str | None = None) -> DataFrame:
-    """Records (and the greatest key) of every batch."""
+    """Records (and the greatest key, null keys aside) of every batch; a null batch is one."""
     extra = [F.max(key).alias(f"max_{key}")] if key else []
     return df.groupBy(batch).agg(F.count("*").alias("records"), *extra)

@@ -1,7 +1,8 @@
 """Reading what changed since a checkpoint.
 
-Bounds are literals, so they reach the scan. The maximum is one small aggregate, which
-Parquet and JDBC sources can answer themselves.
+Bounds are literals, so they reach the scan. The maximum is one small aggregate over the key columns; a table of a
+JDBC catalogue answers it itself, Parquet does where ``spark.sql.parquet.aggregatePushdown`` is set and the
+V2 reader is used, and all else is scanned.
 """
 
 from __future__ import annotations
@@ -15,8 +16,13 @@ from pyspark.sql import functions as F
 from ..functions import any_of
 
 
-def literal(value: Any) -> Column:
-    """A bound as a literal; a time without a zone stays one, so that comparing it needs no cast of the column."""
+def literal(value: Any, convert: str | None = None) -> Column:
+    """A bound as a literal; a time without a zone stays one, so that comparing it needs no cast of the column.
+
+    ``convert``: an SQL expression in which ``$`` stands for a time's text, quoted; it is applied to times alone.
+    """
+    if convert and isinstance(value, datetime.datetime):
+        return F.expr(convert.replace("$", "'" + value.isoformat(sep=" ").replace("'", "''") + "'"))
     if isinstance(value, datetime.datetime) and value.tzinfo is None:
         return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
     return F.lit(value)
@@ -27,41 +33,51 @@ def max_keys(df: DataFrame, keys: list[str], by: str | None = None) -> DataFrame
     return (df.groupBy(by) if by else df).agg(*[F.max(k).alias(f"max_{k}") for k in keys])
 
 
-def in_range(lower: dict[str, Any], upper: dict[str, Any] | None = None, include_nulls: bool = False) -> Column:
+def in_range(lower: dict[str, Any], upper: dict[str, Any] | None = None, include_nulls: bool = False, convert: str | None = None) -> Column:
     """``lower < key <= upper`` for any key; ``upper`` None has no upper end, a null upper gives an empty range."""
     parts = []
     for key, low in lower.items():
-        part = F.col(key) > literal(low)
+        part = F.col(key) > literal(low, convert)
         if upper is not None:
-            part = (part & (F.col(key) <= literal(upper[key]))) if upper.get(key) is not None else F.lit(False)
+            part = (part & (F.col(key) <= literal(upper[key], convert))) if upper.get(key) is not None else F.lit(False)
         parts.append(part | F.col(key).isNull() if include_nulls else part)
     return any_of(parts)
 
 
-def read(df: DataFrame, lower: dict[str, Any], conditions: list[str] | None = None, include_nulls: bool = False, compute_max: bool = True, limit: int | None = None) -> tuple[DataFrame, dict[str, Any]]:
+def read(df: DataFrame, lower: dict[str, Any], conditions: list[str] | None = None, include_nulls: bool = False, compute_max: bool = True, limit: int | None = None, convert: str | None = None) -> tuple[DataFrame, dict[str, Any]]:
     """The rows after the checkpoint ``lower`` and the checkpoint after them.
 
     ``conditions`` are ORed. With no value above the checkpoint the result is empty and the
-    checkpoint stays; a key whose values are all null keeps its own. ``limit`` reads the first rows
-    in key order, all ties of the last one included, and the checkpoint is that of
-    the rows read; it takes a single key.
+    checkpoint stays; a key whose values are all null keeps its own. Rows with a null key are left out unless
+    ``include_nulls``; then every read has them again, as nothing tells which were read. Without
+    ``compute_max`` there is no upper bound and the checkpoint is to be taken from what was read (``observed``).
+    ``limit`` reads about so many rows, key by key: the first rows above a key's checkpoint in its
+    order, all ties of the last one included, then those above the next key's while rows are left.
+    A key's checkpoint is that of its rows read. ``convert``: see ``literal``.
     """
     if conditions:
         df = df.where(any_of([F.expr(c) for c in conditions]))
     if limit is not None:
-        (key, low), *more = lower.items()
-        if more:
-            raise ValueError("a limit needs a single incremental key")
-        last = df.where(F.col(key) > literal(low)).orderBy(key).limit(limit).agg(F.max(key)).first()[0]
-        upper = {key: low if last is None else last}
-        return df.where(in_range(lower, upper, include_nulls)), upper
+        upper, parts, left = dict(lower), [], limit
+        for key, low in lower.items():
+            above = df.where(F.col(key) > literal(low, convert)).select(key).orderBy(key).limit(left)
+            n, last = above.agg(F.count("*"), F.max(key)).first()
+            if n:
+                upper[key] = last
+                parts.append(in_range({key: low}, {key: last}, convert=convert))
+                left -= n
+            if left <= 0:
+                break
+        if include_nulls:
+            parts += [F.col(key).isNull() for key in lower]
+        return df.where(any_of(parts) if parts else F.lit(False)), upper
     if not compute_max:
-        return df.where(in_range(lower, None, include_nulls)), dict(lower)
+        return df.where(in_range(lower, None, include_nulls, convert)), dict(lower)
     found = max_keys(df, list(lower)).first()
     seen = {k: found[f"max_{k}"] for k in lower}
     if all(v is None for v in seen.values()) and not include_nulls:
         return df.where(F.lit(False)), dict(lower)
-    return df.where(in_range(lower, seen, include_nulls)), {k: low if seen[k] is None else max(seen[k], low) for k, low in lower.items()}
+    return df.where(in_range(lower, seen, include_nulls, convert)), {k: low if seen[k] is None else max(seen[k], low) for k, low in lower.items()}
 
 
 def observed(df: DataFrame, keys: list[str], name: str = "increment") -> tuple[DataFrame, Observation]:

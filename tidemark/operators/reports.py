@@ -28,3 +28,31 @@ def object_statistics(run_log: DataFrame, by: str = "object", order: str = "run"
 def dashboard(run_log: DataFrame, by: str = "object", order: str = "run") -> DataFrame:
     """One row: objects, objects whose latest run failed, records of all runs."""
     return last_runs(run_log, by, order).agg(F.count("*").alias("total_objects"), F.count_if(F.col("status") == "ERROR").alias("failed_objects"), F.sum("total_records").alias("total_records"))
+
+
+def statistics(run_log: DataFrame, by: str = "object") -> DataFrame:
+    """Every object's latest read and delete synchronisation and its totals over all runs of the log (``plans.run``).
+
+    Of runs that began at the same time any one is the latest. What an object never did is null; totals are 0.
+    """
+    reads, syncs = F.col("action") == "READ", F.col("action") == "DELETE_SYNC"
+    last = lambda which, value, name: F.max_by(F.when(which, F.col(value)), F.when(which, F.col("start_ts"))).alias(name)
+    total = lambda value, name: F.coalesce(F.sum(value), F.lit(0)).cast("long").alias(name)
+    keys = F.concat_ws(", ", F.transform(F.map_entries("keys"), lambda e: F.concat(e["key"], F.lit("("), e["value"], F.lit(")"))))
+    return run_log.withColumn("key_values", keys).groupBy(by).agg(
+        F.max_by("read_type", "start_ts").alias("read_type"),
+        last(reads, "start_ts", "last_read_start"), last(reads, "end_ts", "last_read_end"), last(reads, "records", "last_read_records"), last(reads, "key_values", "last_read_keys"),
+        last(reads, "status", "last_read_status"), last(reads, "status_description", "last_read_status_description"),
+        last(syncs, "start_ts", "last_delete_sync_start"), last(syncs, "end_ts", "last_delete_sync_end"), last(syncs, "records", "last_delete_sync_keys"),
+        total(F.when(reads, F.col("records")), "total_records"), total(F.size("ddls"), "total_ddls"), total("object_reload", "total_object_reloads"), total("schema_reload", "total_schema_reloads"), F.max("commit_id").alias("last_commit_id"))
+
+
+def totals(run_log: DataFrame, by: str = "object") -> DataFrame:
+    """One row for the job: objects by kind and by their latest status, times of the latest read and delete synchronisation, all records, last sign of life and start."""
+    now = statistics(run_log, by)
+    latest = last_runs(run_log.select(by, "records", "status", "start_ts", "end_ts"), by, "start_ts")
+    both = now.join(latest.select(by, "status", "end_ts"), by)
+    return both.agg(
+        F.count("*").alias("total_objects"), F.count_if(F.col("status") == "ERROR").alias("failed_objects"), F.count_if(F.col("read_type") == "SNAPSHOT").alias("snapshot_objects"), F.count_if(F.col("read_type") == "INCREMENTAL").alias("incremental_objects"),
+        F.max("last_read_start").alias("last_read_start"), F.max("last_read_end").alias("last_read_end"), F.max("last_delete_sync_start").alias("last_delete_sync_start"), F.max("last_delete_sync_end").alias("last_delete_sync_end"),
+        F.coalesce(F.sum("total_records"), F.lit(0)).cast("long").alias("total_records"), F.max("end_ts").alias("last_heartbeat"), F.greatest(F.max("last_read_start"), F.max("last_delete_sync_start")).alias("last_job_start"))

@@ -32,8 +32,12 @@ def listed(column: str | Column) -> Column:
     return F.filter(F.transform(F.split(col, ","), lambda x: F.upper(F.trim(x))), lambda x: x != "")
 
 
-def validate(specs: DataFrame, name: str, columns: str, unique_key: str, masked: str, condition: str) -> DataFrame:
-    """(name, problem) of every broken rule: a key or condition names no column, a masked key, a condition that is no ``col = value``."""
+def validate(specs: DataFrame, name: str, columns: str, unique_key: str, masked: str, condition: str, incremental: str | None = None) -> DataFrame:
+    """(name, problem) of every broken rule: a key or condition names no column, a masked key, a condition that is no ``col = value``.
+
+    Names are compared without case and blanks. A null list has no rule to break; lists of the job's defaults are not
+    checked here, since ``effective`` drops those that don't fit.
+    """
     have, keys, hidden, sides = listed(columns), listed(unique_key), listed(masked), F.split(condition, "=")
     rules = {
         "unique_key": F.size(F.array_except(keys, have)) > 0,
@@ -41,13 +45,26 @@ def validate(specs: DataFrame, name: str, columns: str, unique_key: str, masked:
         "mask": F.size(F.array_except(hidden, have)) > 0,
         "delete_condition": (F.col(condition) != "") & ((F.size(sides) != 2) | ~F.array_contains(have, F.upper(F.trim(sides[0])))),
     }
+    if incremental:
+        rules["incremental_key"] = F.size(F.array_except(listed(incremental), have)) > 0
     found = F.array_compact(F.array(*[F.when(rule, F.lit(k)) for k, rule in rules.items()]))
     return specs.select(name, F.explode(found).alias("problem"))
 
 
-def effective(own: Column, default: str, columns: Column) -> Column:
-    """The object's own list, else the job's default where all of it is among the columns, else empty."""
-    fits = F.size(F.array_except(listed(F.lit(default)), listed(columns))) == 0
+def effective(own: Column, default: str, columns: Column, part: bool = False) -> Column:
+    """The object's own list, else the job's default where all of it is among the columns, else empty.
+
+    ``part``: else what of it is among the columns (a default list of masks hides what there is).
+    """
+    wanted, have = listed(F.lit(default)), listed(columns)
+    if part:
+        return F.when(own != "", own).otherwise(F.array_join(F.array_intersect(wanted, have), ","))
+    return F.when(own != "", own).when(F.size(F.array_except(wanted, have)) == 0, default).otherwise("")
+
+
+def effective_condition(own: Column, default: str, columns: Column) -> Column:
+    """The object's delete condition, else the job's where its column is among the columns, else empty."""
+    fits = F.array_contains(listed(columns), F.upper(F.trim(F.split(F.lit(default), "=")[0])))
     return F.when(own != "", own).when(fits, default).otherwise("")
 
 

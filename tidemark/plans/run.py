@@ -1,26 +1,42 @@
-"""Runs over many objects: read increments or snapshots, and synchronise deletes."""
+"""Runs over many objects: follow the source's objects and columns, read increments or snapshots, synchronise deletes.
+
+What a read brings is landed once as Parquet in the target's ``log`` folder, with its records and maxima counted on the way; the
+merge reads it from there. So a live source is read once, and rows, deletes and checkpoint are one commit.
+"""
 
 from __future__ import annotations
 
+import dataclasses
 import datetime
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import changes as log
-from ..operators import increment
+from ..operators import increment, reports, state
+from ..operators.merge import delete_missing
+from ..sources import catalog, document_key
 from .store import Target
 
-LOG_SCHEMA = "run_id string, object string, read_type string, start_ts timestamp, end_ts timestamp, records bigint, status string, status_description string, keys map<string,string>"
+LOG_SCHEMA = "run_id string, object string, read_type string, action string, start_ts timestamp, end_ts timestamp, records bigint, status string, status_description string, keys map<string,string>, ddls array<string>, object_reload int, schema_reload int, commit_id bigint"
+_MARKS = ("_snapshot_done", "_nulls_read")
+_EPOCH = datetime.datetime(1970, 1, 1)
 
 
 @dataclass(frozen=True)
 class ObjectSpec:
-    """One object: its columns, unique key, incremental keys with their first values, masks and conditions."""
+    """One object: its columns, unique key, incremental keys with their first values, masks and conditions.
+
+    ``kind``: "table"; "csv" (of ``sources.csv``: an incremental one has ``incremental={"_file_time": first}``, files modified
+    later are read, and of rows with one key that of the later file counts); "documents" (of ``sources.json_documents``, whose
+    key is ``_id``: incremental keys are fields of the document, numbers or times). ``follow``: the
+    target gets the source's columns as they come, change and go. ``compute_max``, ``limit``, ``convert``:
+    see ``increment.read``. ``masker``: another mask than the standard one.
+    """
 
     name: str
     unique_key: list[str]
@@ -33,6 +49,12 @@ class ObjectSpec:
     position: int = 1
     include_nulls: bool = False
     enabled: bool = True
+    kind: str = "table"
+    follow: bool = True
+    compute_max: bool = True
+    limit: int | None = None
+    convert: str | None = None
+    masker: Callable[[Column], Column] | None = None
 
 
 def _plain(v: Any) -> Any:
@@ -45,66 +67,176 @@ def _typed(v: Any, like: Any) -> Any:
     return datetime.date.fromisoformat(v) if isinstance(like, datetime.date) else v
 
 
+def _millis(v: Any) -> Any:
+    return v.replace(tzinfo=datetime.timezone.utc).timestamp() * 1000 if isinstance(v, datetime.datetime) else float(v)
+
+
+def _keyed(spec: ObjectSpec, source: DataFrame) -> tuple[DataFrame, dict[str, Any], dict[str, str]]:
+    """The source with its incremental keys as columns, their first values, and the name of each in the checkpoint."""
+    if spec.kind != "documents":
+        return source, spec.incremental, {k: k for k in spec.incremental}
+    names = {f"document_key_{i}": k for i, k in enumerate(spec.incremental)}
+    source = source.withColumns({c: document_key("document", k) for c, k in names.items()}) if names else source
+    return source, {c: _millis(spec.incremental[k]) for c, k in names.items()}, names
+
+
+def follow(target: Target, records: DataFrame) -> list[str]:
+    """Give the target the columns of the change records; the statements that say what changed. A new target needs none."""
+    old = {f.name.lower(): f for f in target.columns()}
+    if not old:
+        return []
+    fields = [f for f in records.schema.fields if f.name not in ("_op", "_ts", "_seq", "_batch")]
+    now = {f.name.lower(): f for f in fields}
+    out = [f"ALTER COLUMN {f.name} {f.dataType.simpleString()}" if k in old else f"ADD COLUMN {f.name} {f.dataType.simpleString()}" for k, f in now.items() if k not in old or old[k].dataType != f.dataType]
+    out += [f"DROP COLUMN {f.name}" for k, f in old.items() if k not in now]
+    if out or [*old] != [*now]:
+        target.alter(fields)
+    return out
+
+
+def _land(target: Target, rows: DataFrame, keys: list[str], made: Callable[[DataFrame], DataFrame], batch: str, checkpoint: Callable[[dict[str, Any]], dict[str, Any]]) -> int:
+    """Write the change records ``made`` from ``rows``, then merge them; the number of records. Without any there is no commit."""
+    spark = target.spark
+    rows, seen = increment.observed(rows, keys, f"read-{uuid.uuid4().hex}")
+    at = f"{target.path}/log/{uuid.uuid4().hex}"
+    made(rows).write.parquet(at)
+    got = seen.get
+    if got["records"]:
+        target.apply(spark.read.parquet(at), batch, lambda: checkpoint(got))
+    where = target._hadoop(at)
+    target._fs.delete(where, True)
+    return got["records"]
+
+
 def read_object(spec: ObjectSpec, source: DataFrame, target: Target, run_id: str) -> dict[str, Any]:
-    """One read: a range above the checkpoint or, once, everything. Rows, deletes and checkpoint are one commit."""
-    state = target.manifest()
-    saved = state["checkpoint"]
-    if spec.incremental:
-        lower = {k: _typed(saved[k], v) if k in saved else v for k, v in spec.incremental.items()}
-        rows, upper = increment.read(source, lower, spec.conditions, spec.include_nulls)
+    """One read: a range above the checkpoint or, once, everything. Rows, deletes and checkpoint are one commit.
+
+    Where the set of incremental keys is another than the checkpoint's, reading starts again. Rows with a null key
+    (``include_nulls``) come with every read that finds something new, and by themselves once.
+    """
+    source, first, names = _keyed(spec, source)
+    saved, ddls = target.manifest()["checkpoint"], []
+    if {k for k in saved if k not in _MARKS} - {*names.values()} or (first and saved.get("_snapshot_done")):
+        target.forget()
+        saved = {}
+    lower, upper = {}, {}
+    if first:
+        lower = {c: _typed(saved[names[c]], v) if names[c] in saved else v for c, v in first.items()}
+        rows, upper = increment.read(source, lower, spec.conditions, spec.include_nulls, spec.compute_max, spec.limit, spec.convert)
+        if spec.include_nulls and saved.get("_nulls_read") and spec.compute_max and upper == lower:
+            rows = rows.where(F.lit(False))
     elif saved.get("_snapshot_done"):
-        rows, upper = source.where(F.lit(False)), {}
+        rows = source.where(F.lit(False))
     else:
-        rows, upper = (source.where(" OR ".join(f"({c})" for c in spec.conditions)) if spec.conditions else source), {"_snapshot_done": True}
-    if spec.columns:
-        rows = rows.select(*[F.col(f"`{c}`") for c in spec.columns])
-    rows, seen = increment.observed(log.mask(rows, spec.masked), [], f"read-{uuid.uuid4().hex}")
+        rows = source.where(" OR ".join(f"({c})" for c in spec.conditions)) if spec.conditions else source
+    helpers = {*([] if spec.kind == "table" else ["_file_time", "_file"]), *(c for c in names if c != names[c])}
+    there = {c.lower() for c in source.columns}
+    columns = [c for c in (spec.columns or source.columns) if c not in helpers and c.lower() in there]
     # A soft-deleted row arrives as a delete of its key.
-    op = F.when(F.coalesce(F.expr(spec.delete_condition), F.lit(False)), "D").otherwise("I") if spec.delete_condition and spec.incremental else F.lit("I")
-    commit = state["version"] + 1
-    records = log.emit(rows, op, run_id, F.lit(datetime.datetime(1970, 1, 1)), F.lit(commit))
-    records = records.persist()
-    try:
-        n = records.count()
-        if n:
-            target.apply(records, f"{run_id}/{spec.name}", {k: _plain(v) for k, v in upper.items()})
-    finally:
-        records.unpersist()
-    return {"records": n, "keys": {k: str(v) for k, v in upper.items() if not k.startswith("_")}}
+    op = F.when(F.coalesce(F.expr(spec.delete_condition), F.lit(False)), "D").otherwise("I") if spec.delete_condition and first else F.lit("I")
+    ts = F.col("_file_time") if spec.kind == "csv" and "_file_time" in source.columns else F.lit(_EPOCH)
+    commit = target.manifest()["version"] + 1
+
+    def made(df: DataFrame) -> DataFrame:
+        if spec.kind == "documents" and spec.masked:
+            df = log.mask_document(df, "document", spec.masked, masker=spec.masker)
+        hidden = {m.lower() for m in spec.masked} if spec.kind != "documents" else set()
+        plain = df.select(op.alias("_op"), ts.cast("timestamp").alias("_ts"), F.lit(commit).cast("long").alias("_seq"), F.lit(run_id).alias("_batch"), *[F.col(f"`{c}`") for c in columns])
+        return log.mask(plain, list(hidden), masker=spec.masker)
+
+    if spec.follow:
+        ddls = follow(target, made(rows))
+        commit = target.manifest()["version"] + 1
+
+    def checkpoint(got: dict[str, Any]) -> dict[str, Any]:
+        if not first:
+            return {"_snapshot_done": True}
+        if not spec.compute_max:
+            seen = {c: got[f"max_{c}"] for c in first}
+            upper.update({c: lower[c] if v is None else max(v, lower[c]) for c, v in seen.items()})
+        return {names[c]: _plain(v) for c, v in upper.items()} | ({"_nulls_read": True} if spec.include_nulls else {})
+
+    n = _land(target, rows, list(first) if first and not spec.compute_max else [], made, f"{run_id}/{spec.name}", checkpoint)
+    return {"records": n, "keys": {names[c]: str(v) for c, v in upper.items()}, "ddls": ddls}
 
 
 def delete_sync_object(spec: ObjectSpec, source: DataFrame, target: Target, run_id: str) -> dict[str, Any]:
     """Delete from the target what the source no longer holds (within the object's conditions); an empty source deletes nothing."""
-    from ..operators.merge import delete_missing
-
-    if not spec.unique_key:
+    if not spec.unique_key or not target.columns():
         return {"records": 0, "keys": {}}
     keys = source.where(" OR ".join(f"({c})" for c in spec.conditions)) if spec.conditions else source
-    _, gone = delete_missing(target.read(), keys, spec.unique_key)
+    alive = target.read()
+    _, gone = delete_missing(alive, keys, spec.unique_key)
     commit = target.manifest()["version"] + 1
-    target.apply(log.emit(gone, "D", run_id, F.lit(datetime.datetime(1970, 1, 1)), F.lit(commit)), f"{run_id}/{spec.name}/deletes")
-    return {"records": gone.count(), "keys": {}}
+    n = _land(target, gone, [], lambda df: log.emit(df, "D", run_id, F.lit(datetime.datetime(9999, 1, 1) if spec.kind == "csv" else _EPOCH), F.lit(commit)), f"{run_id}/{spec.name}/deletes", lambda got: {})
+    return {"records": n, "keys": {}}
+
+
+def failed(spark: SparkSession, log_path: str) -> list[str]:
+    """The objects whose latest row of the log is an error, for ``only`` of the next run: one name for each."""
+    rows = reports.failed_objects(spark.read.schema(LOG_SCHEMA).parquet(log_path), order="start_ts")
+    return sorted(r.object for r in rows.select("object").collect())
+
+
+def reset_job(spark: SparkSession, targets: list[Target], log_path: str | None = None) -> None:
+    """Delete targets with their checkpoints and, if it is named, the run log; specs and flags are the caller's and stay."""
+    for t in targets:
+        t.drop()
+    if log_path:
+        at = spark._jvm.org.apache.hadoop.fs.Path(log_path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def run(spark: SparkSession, specs: list[ObjectSpec], source: Callable[[str], DataFrame], targets: Callable[[ObjectSpec], Target], log_path: str, work: Callable[..., dict[str, Any]] = read_object, run_id: str | None = None) -> DataFrame:
-    """All enabled objects, group by group in order of position; the first failure of a group ends it. Returns this run's log rows."""
+def run(spark: SparkSession, specs: list[ObjectSpec], source: Callable[[str], DataFrame], targets: Callable[[ObjectSpec], Target], log_path: str, work: Callable[..., dict[str, Any]] = read_object, run_id: str | None = None, only: list[str] | None = None, listing: DataFrame | None = None, adopt: Callable[[str], ObjectSpec] | None = None, drop: bool = False, flags: DataFrame | None = None) -> DataFrame:
+    """All enabled objects, group by group in order of position; the first failure of a group ends it. Returns this run's log rows.
+
+    ``only``: these objects (``failed`` tells those to be read again). ``listing`` (object_name): what the source holds now.
+    Objects it doesn't hold are not read, and with ``drop`` their targets are deleted; new ones are read as ``adopt`` says, such as
+    a whole snapshot. ``flags``: reload flags as of ``state.reload_plan``; a reloaded object is read from the start, and one with a
+    reloaded schema takes over the source's columns even if it doesn't follow them; ``state.next_flags`` gives those
+    for the next start. Names and flags are one row for each object.
+    """
     run_id = run_id or uuid.uuid4().hex
-    failed: set[str] = set()
-    rows = []
-    for spec in sorted((s for s in specs if s.enabled), key=lambda s: (s.group, s.position)):
-        if spec.group in failed:
+    failing: set[str] = set()
+    rows: list[tuple] = []
+    specs = [s for s in specs if s.enabled]
+
+    def noted(spec: ObjectSpec, began: datetime.datetime, action: str, status: str, said: str, done: dict[str, Any], reload: tuple[bool, bool] = (False, False), commit: int | None = None) -> None:
+        kind = "INCREMENTAL" if spec.incremental else "SNAPSHOT"
+        rows.append((run_id, spec.name, kind, action, began, datetime.datetime.now(), done["records"], status, said, done["keys"], done.get("ddls", []), int(reload[1]), int(reload[0]), commit))
+
+    if listing is not None:
+        known = spark.createDataFrame([(s.name,) for s in specs], "object_name string")
+        gone = {r.object_name for r in catalog.dropped_objects(listing, known).collect()}
+        for spec in (s for s in specs if s.name in gone):
+            if drop:
+                targets(spec).drop()
+            noted(spec, datetime.datetime.now(), "DROP", "SUCCESS", f"DROP TABLE IF EXISTS {spec.name}" if drop else "no longer in the source", {"records": 0, "keys": {}})
+        specs = [s for s in specs if s.name not in gone]
+        if adopt:
+            specs += [adopt(r.object_name) for r in catalog.new_objects(listing, known).orderBy("object_name").collect()]
+    if only is not None:
+        specs = [s for s in specs if s.name in set(only)]
+    reloads: dict[str, tuple[bool, bool]] = {}
+    if flags is not None:
+        names = spark.createDataFrame([(s.name,) for s in specs], "object string")
+        reloads = {r.object: (r.reload_schema, r.reload_object) for r in state.reload_plan(names, flags).collect()}
+    action = "DELETE_SYNC" if work is delete_sync_object else "READ"
+    for spec in sorted(specs, key=lambda s: (s.group, s.position)):
+        if spec.group in failing:
             continue
-        began, status, said, done = datetime.datetime.now(), "SUCCESS", "", {"records": 0, "keys": {}}
+        began, status, said, done, commit = datetime.datetime.now(), "SUCCESS", "", {"records": 0, "keys": {}}, None
+        reload = reloads.get(spec.name, (False, False))
         try:
-            done = work(spec, source(spec.name), targets(spec), run_id)
-            said = "" if done["records"] else "no data found"
+            target = targets(spec)
+            if reload[1]:
+                target.forget()
+            done = work(dataclasses.replace(spec, follow=True) if any(reload) else spec, source(spec.name), target, run_id)
+            said, commit = "" if done["records"] else "no data found", target.manifest()["version"]
         except Exception as e:  # the failure is a row of the log; the next run starts from the old checkpoint
             status, said = "ERROR", str(e).splitlines()[0][:500]
-            failed.add(spec.group)
-        kind = "INCREMENTAL" if spec.incremental else "SNAPSHOT"
-        rows.append((run_id, spec.name, kind, began, datetime.datetime.now(), done["records"], status, said, done["keys"]))
+            failing.add(spec.group)
+        noted(spec, began, action, status, said, done, reload, commit)
     out = spark.createDataFrame(rows, LOG_SCHEMA)
     out.write.mode("append").parquet(log_path)
     return out
-
-

@@ -1,9 +1,10 @@
-"""A keyed target in Parquet: hash buckets, versions, and one manifest per commit.
+"""A keyed target in Parquet: hash buckets and one manifest per commit.
 
-A row lies in bucket ``pmod(xxhash64(key), buckets)``. A merge reads and rewrites only the buckets its
-changes touch and leaves the others where they are. The commit is the creation of
-the next manifest, which fails if it exists; until then readers see the old version. The
-manifest names the batches it holds, so a batch delivered twice is applied once.
+A row lies in bucket ``pmod(xxhash64(key), buckets)``. The number of buckets and the key are part of the target: they are set
+by its first commit and read from the manifest ever after. A merge reads and rewrites only the buckets its
+changes touch. The manifest of a commit is written aside and renamed to the next version's name, which fails if
+that exists; so readers see the old version or the new one, whole. It names the
+batches it holds, so a batch delivered twice is applied once.
 
 Rows carry ``_op``, ``_ts``, ``_seq`` of their last change; deleted keys stay as such rows, hidden by the
 reader, so that an older change that comes late cannot revive them.
@@ -13,9 +14,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,78 +29,191 @@ _META = T.StructType([T.StructField("_op", T.StringType()), T.StructField("_ts",
 
 
 class Target:
-    """A target at ``path`` on any Hadoop filesystem."""
+    """A target at ``path`` on any Hadoop filesystem.
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 16, remember: int = 1000) -> None:
-        self.spark, self.path, self.keys, self.buckets, self.remember = spark, path.rstrip("/"), keys, buckets, remember
+    ``buckets``: their number when the target is new; by default one for each ``bucket_rows`` rows of its first batch, 16 at
+    least (``rebucket`` changes it later). ``remember``: of batches that are named, so many of the last are
+    known again; of streams every number up to the last is.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int | None = None, remember: int = 1000, bucket_rows: int = 2_000_000) -> None:
+        self.spark, self.path, self.keys, self.buckets, self.remember, self.bucket_rows = spark, path.rstrip("/"), keys, buckets, remember, bucket_rows
         self._hadoop = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._hadoop(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._conf = spark._jsc.hadoopConfiguration()
+        self._fs = self._hadoop(self.path).getFileSystem(self._conf)
+
+    # --- manifests -------------------------------------------------------------------------------
 
     def manifest(self) -> dict[str, Any]:
+        """The newest version; of a target that isn't there yet, an empty one."""
         folder = self._hadoop(f"{self.path}/_manifests")
-        if not self._fs.exists(folder):
-            return {"version": 0, "schema": None, "files": {}, "batches": [], "checkpoint": {}}
-        last = max(int(s.getPath().getName().split(".")[0]) for s in self._fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
-        stream = self._fs.open(self._hadoop(f"{self.path}/_manifests/{last:012d}.json"))
+        names = [s.getPath().getName() for s in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
+        versions = [int(x.split(".")[0]) for x in names if x.endswith(".json") and not x.startswith((".", "_"))]
+        if not versions:
+            return {"version": 0, "schema": None, "keys": self.keys, "buckets": None, "files": {}, "batches": [], "streams": {}, "checkpoint": {}, "dropped": []}
+        stream = self._fs.open(self._hadoop(f"{self.path}/_manifests/{max(versions):012d}.json"))
         try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            state = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
+        if [k.lower() for k in state["keys"]] != [k.lower() for k in self.keys]:
+            raise ValueError(f"the target's key is {state['keys']}, not {self.keys}")
+        return state
 
     def _commit(self, state: dict[str, Any]) -> None:
-        """Fails if another writer has committed this version."""
+        """Fails, and leaves the target as it was, if another writer has committed this version."""
         state["version"] += 1
-        out = self._fs.create(self._hadoop(f"{self.path}/_manifests/{state['version']:012d}.json"), False)
+        final = self._hadoop(f"{self.path}/_manifests/{state['version']:012d}.json")
+        aside = self._hadoop(f"{self.path}/_manifests/_{uuid.uuid4().hex}.tmp")
+        out = self._fs.create(aside, False)
         try:
             out.write(bytearray(json.dumps(state).encode()))
         finally:
             out.close()
+        jvm = self.spark._jvm
+        plain = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)  # no overwriting
+        try:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._conf).rename(aside, final, plain)
+        except Exception:
+            self._fs.delete(aside, False)
+            raise
+
+    # --- reading ---------------------------------------------------------------------------------
+
+    def _schema(self, state: dict[str, Any]) -> T.StructType:
+        return T.StructType.fromJson(json.loads(state["schema"]))
 
     def _stored(self, state: dict[str, Any], buckets: list[int] | None = None) -> DataFrame | None:
         paths = sorted({p for b, p in state["files"].items() if buckets is None or int(b) in buckets})
-        if not paths:
-            return None
-        return self.spark.read.schema(T.StructType.fromJson(json.loads(state["schema"]))).parquet(*paths)
+        return self.spark.read.schema(self._schema(state)).parquet(*paths) if paths else None
+
+    def columns(self) -> list[T.StructField]:
+        """The fields of the target's rows; none before its first commit."""
+        state = self.manifest()
+        return [f for f in self._schema(state).fields if f.name not in _META.names] if state["schema"] else []
 
     def read(self, state: dict[str, Any] | None = None) -> DataFrame:
+        """The rows that are not deleted; a target without a commit has no columns."""
         state = state or self.manifest()
-        schema = T.StructType.fromJson(json.loads(state["schema"])) if state["schema"] else T.StructType([])
+        if not state["schema"]:
+            return self.spark.createDataFrame([], T.StructType([]))
         stored = self._stored(state)
-        rows = self.spark.createDataFrame([], schema) if stored is None else stored
-        return rows.where("_op <> 'D'").drop(*_META.names) if schema.fields else rows
+        rows = self.spark.createDataFrame([], self._schema(state)) if stored is None else stored
+        return rows.where("_op <> 'D'").drop(*_META.names)
 
-    def apply(self, changes: DataFrame, batch_id: str, checkpoint: dict[str, Any] | None = None) -> bool:
-        """Merge change records (``_op``, ``_ts``, ``_seq`` and columns) and commit; False if the batch was committed before."""
+    # --- writing ---------------------------------------------------------------------------------
+
+    def _bucket(self, n: int) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.keys]), F.lit(n)).cast("int")
+
+    def _write(self, rows: DataFrame) -> str:
+        """Write rows that have ``_bucket`` and lie together by it: a file for each bucket."""
+        folder = f"{self.path}/data/{uuid.uuid4().hex}"
+        rows.write.partitionBy("_bucket").parquet(folder)
+        return folder
+
+    def _gathered(self, rows: DataFrame, touched: int) -> DataFrame:
+        # More partitions than buckets, so that few of them hold two.
+        return rows.repartition(min(3 * touched, 20_000), "_bucket")
+
+    def apply(self, changes: DataFrame, batch_id: str | int, checkpoint: dict[str, Any] | Callable[[], dict[str, Any]] | None = None, stream: str | None = None) -> bool:
+        """Merge change records (``_op``, ``_ts``, ``_seq`` and columns) and commit; False if the batch was committed before.
+
+        ``changes`` is read twice, for the buckets and for the rows, so it must be the same both times: files, not
+        a live source. Its rows are folded to one for each key first; then they and the stored rows of their buckets
+        meet in one shuffle by bucket, which is that of the written files as well. Of changes
+        equal in order the newly delivered one wins. ``stream``: ``batch_id`` is a number in it, and one up to the last is known.
+        """
         state = self.manifest()
-        if batch_id in state["batches"]:
+        if (batch_id <= state["streams"].get(stream, -1)) if stream else (batch_id in state["batches"]):
             return False
         data = [f for f in changes.schema.fields if f.name not in (*_META.names, "_batch")]
         schema = T.StructType([*data, *_META.fields])
         if state["schema"]:
-            old = T.StructType.fromJson(json.loads(state["schema"]))
-            schema = T.StructType([*[f for f in old.fields if f.name not in _META.names], *[f for f in data if f.name.lower() not in {x.lower() for x in old.names}], *_META.fields])
-        bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.keys]), F.lit(self.buckets)).cast("int")
-        last = latest(evolve(checked(changes, self.keys), schema), self.keys, ORDER)
-        # At most one value for each bucket.
-        touched = [r[0] for r in last.select(bucket.alias("b")).distinct().collect()]
+            old = self._schema(state)
+            have = {x.lower() for x in old.names}
+            new = [f for f in data if f.name.lower() not in have]
+            self._refuse_dropped(state, new)
+            schema = T.StructType([*[f for f in old.fields if f.name not in _META.names], *new, *_META.fields])
+        changes = evolve(checked(changes, self.keys), schema)
+        if state["buckets"] is None:
+            state["buckets"] = self.buckets or max(16, -(-changes.count() // self.bucket_rows))
+        n = state["buckets"]
+        # At most one value for each bucket; only the key is read.
+        touched = [r[0] for r in changes.select(self._bucket(n).alias("b")).distinct().collect()]
+        rows = latest(changes, self.keys, ORDER).withColumn("_new", F.lit(1))
         stored = self._stored(state, touched)
         if stored is not None:
-            # Equal order: the newly delivered change wins.
-            both = evolve(stored, schema).where(bucket.isin(touched)).withColumn("_new", F.lit(0)).unionByName(last.withColumn("_new", F.lit(1)))
-            last = latest(both, self.keys, [*ORDER, "_new"]).drop("_new")
-        folder = f"{self.path}/data/{uuid.uuid4().hex}"
+            rows = evolve(stored, schema).withColumn("_new", F.lit(0)).unionByName(rows)
         if touched:
-            # An explicit number of partitions, one for each bucket: a file each.
-            last.withColumn("_bucket", bucket).repartition(len(touched), "_bucket").write.partitionBy("_bucket").parquet(folder)
-        state["files"] = state["files"] | {str(b): f"{folder}/_bucket={b}" for b in touched}
+            rows = self._gathered(rows.withColumn("_bucket", self._bucket(n)), len(touched))
+            last = latest(rows, ["_bucket", *self.keys], [*ORDER, "_new"]).drop("_new")
+            folder = self._write(last)
+            state["files"] = state["files"] | {str(b): f"{folder}/_bucket={b}" for b in touched}
         state["schema"] = schema.json()
-        state["batches"] = [*state["batches"], batch_id][-self.remember :]
-        state["checkpoint"] = state["checkpoint"] | (checkpoint or {})
+        if stream:
+            state["streams"] = state["streams"] | {stream: batch_id}
+        else:
+            state["batches"] = [*state["batches"], batch_id][-self.remember :]
+        state["checkpoint"] = state["checkpoint"] | ((checkpoint() if callable(checkpoint) else checkpoint) or {})
         self._commit(state)
         return True
 
+    def _refuse_dropped(self, state: dict[str, Any], new: list[T.StructField]) -> None:
+        """A dropped column's values are still in old files; before a column of its name comes back they are written anew."""
+        if any(f.name.lower() in state["dropped"] for f in new):
+            self._rewrite(state, state["buckets"])
+
+    def _rewrite(self, state: dict[str, Any], buckets: int, schema: T.StructType | None = None) -> None:
+        """All rows in files of the present (or given) schema and number of buckets; changes ``state`` alone."""
+        stored = self._stored(state)
+        schema = schema or self._schema(state)
+        if stored is not None:
+            rows = self._gathered(evolve(stored, schema).withColumn("_bucket", self._bucket(buckets)), buckets)
+            folder = self._write(rows)
+            there = self._hadoop(folder)
+            state["files"] = {s.getPath().getName().split("=")[1]: f"{folder}/{s.getPath().getName()}" for s in self._fs.listStatus(there) if "=" in s.getPath().getName()}
+        state["schema"], state["buckets"], state["dropped"] = schema.json(), buckets, []
+
+    def rebucket(self, buckets: int) -> None:
+        """Deal all rows out to another number of buckets, in one commit."""
+        state = self.manifest()
+        if state["schema"]:
+            self._rewrite(state, buckets)
+            self._commit(state)
+
+    def alter(self, fields: list[T.StructField]) -> None:
+        """Give the target these columns in this order, in one commit.
+
+        Added, dropped and moved columns change the manifest alone; where a type changes or a dropped name comes back,
+        all rows are written anew. The key must stay. Before the first commit nothing happens.
+        """
+        state = self.manifest()
+        if not state["schema"]:
+            return
+        if not {k.lower() for k in self.keys} <= {f.name.lower() for f in fields}:
+            raise ValueError("the key's columns must stay")
+        schema, old = T.StructType([*fields, *_META.fields]), {f.name.lower(): f for f in self._schema(state).fields if f.name not in _META.names}
+        now = {f.name.lower(): f for f in fields}
+        if any(k in old and (old[k].dataType != f.dataType or old[k].name != f.name) for k, f in now.items()) or any(k in state["dropped"] for k in now.keys() - old.keys()):
+            self._rewrite(state, state["buckets"], schema)
+        else:
+            state["dropped"] = sorted({*state["dropped"], *(old.keys() - now.keys())})
+            state["schema"] = schema.json()
+        self._commit(state)
+
+    def forget(self, *names: str) -> None:
+        """Take values out of the checkpoint (all, if none is named), so that the object is read from the start again."""
+        state = self.manifest()
+        state["checkpoint"] = {k: v for k, v in state["checkpoint"].items() if names and k not in names}
+        self._commit(state)
+
+    def drop(self) -> None:
+        """Delete the target with all its versions."""
+        self._fs.delete(self._hadoop(self.path), True)
+
     def vacuum(self) -> int:
-        """Delete data folders that the current manifest does not name; only when no writer runs."""
+        """Delete data folders that the current manifest does not name; only when no writer or reader of an older version runs."""
         used = {p.split("/_bucket=")[0].rsplit("/", 1)[-1] for p in self.manifest()["files"].values()}
         folder, gone = self._hadoop(f"{self.path}/data"), 0
         for s in self._fs.listStatus(folder) if self._fs.exists(folder) else []:

@@ -18,9 +18,10 @@ from . import functions as fn
 from . import sources
 from .operators import changes as log
 from .operators import increment, merge, reports, schema, specs, state
+from .plans import run as runs
 from .plans.store import Target
 from .sources import catalog
-from .streaming import apply_stream
+from .streaming import apply_stream, change_stream
 
 _Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, _Query] = {}
@@ -43,8 +44,13 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _work(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one; a local one only where that is unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    """A new folder below the cluster's shared one; where that is unset a local one, on a local master only."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not at:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        at = tempfile.mkdtemp(prefix="spark-")
     return f"{at}/tidemark-{uuid.uuid4().hex}"
 
 
@@ -506,6 +512,166 @@ def csv_folder(spark, sf):
     return found.groupBy("event_type").agg(F.count("*").alias("files_rows"))
 
 
+# --- whole runs: the rows of the target after several of them ----------------------------------
+
+
+def _target(spark, at: str, keys: list[str]):
+    made: dict[str, Target] = {}
+    return lambda spec: made.setdefault(spec.name, Target(spark, f"{at}/{spec.name}", keys))
+
+
+@_query("SELECT o_orderkey, o_orderstatus, regexp_replace(regexp_replace(o_orderpriority,'[a-zA-Z]','X','g'),'[0-9]','9','g') AS o_orderpriority FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 3 <> 0")
+def run_incremental(spark, sf):
+    """Two increments by key without a maximum of the source, then deletes; the later rows of the source lack some."""
+    at, orders = _work(spark), _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    spec, targets = runs.ObjectSpec("orders", ["o_orderkey"], incremental={"o_orderkey": -1}, masked=["o_orderpriority"], compute_max=False), _target(spark, at, ["o_orderkey"])
+    for source in (orders.where("o_orderkey < 4000"), orders, orders):
+        runs.run(spark, [spec], lambda _, df=source: df, targets, f"{at}/log")
+    left = orders.where("o_orderstatus <> 'F' OR o_orderkey % 3 <> 0")
+    runs.run(spark, [spec], lambda _: left, targets, f"{at}/log", runs.delete_sync_object)
+    return targets(spec).read()
+
+
+@_query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer")
+def run_schema_drift(spark, sf):
+    """A column is added, one dropped and one altered between two increments: the target follows and keeps its rows."""
+    at, c = _work(spark), _t(spark, sf, "customer")
+    old = c.where("c_custkey % 2 = 0").select("c_custkey", "c_name", "c_nationkey", F.lit(1).alias("part"))
+    new = c.where("c_custkey % 2 = 1").select("c_custkey", "c_acctbal", F.col("c_nationkey").cast("string").alias("c_nationkey"), F.lit(2).alias("part"))
+    spec, targets = runs.ObjectSpec("customer", ["c_custkey"], incremental={"part": 0}), _target(spark, at, ["c_custkey"])
+    for source in (old, new):
+        runs.run(spark, [spec], lambda _, df=source: df, targets, f"{at}/log")
+    return targets(spec).read().select("c_custkey", "c_acctbal", "c_nationkey")
+
+
+@_query("SELECT p_partkey, p_size + CASE WHEN p_partkey % 2 = 0 THEN 100 ELSE 0 END AS p_size FROM part")
+def run_reload(spark, sf):
+    """A snapshot is taken once, and once more after its object is flagged to be reloaded; the next start has the flag cleared."""
+    at, part = _work(spark), _t(spark, sf, "part").select("p_partkey", "p_size")
+    spec, targets = runs.ObjectSpec("part", ["p_partkey"]), _target(spark, at, ["p_partkey"])
+    flags = spark.createDataFrame([("part", 0, 0, 1, 0)], "object string, schema_next int, schema_each int, object_next int, object_each int")
+    changed = part.withColumn("p_size", F.col("p_size") + F.when(F.col("p_partkey") % 2 == 0, 100).otherwise(0))
+    runs.run(spark, [spec], lambda _: part, targets, f"{at}/log")
+    runs.run(spark, [spec], lambda _: part.withColumn("p_size", F.lit(-1)), targets, f"{at}/log")
+    runs.run(spark, [spec], lambda _: changed, targets, f"{at}/log", flags=flags)
+    runs.run(spark, [spec], lambda _: part, targets, f"{at}/log", flags=state.next_flags(flags))
+    return targets(spec).read()
+
+
+@_query("SELECT 'supplier' AS object, count(*) AS n FROM supplier UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'customer', NULL")
+def run_objects(spark, sf):
+    """An object is no longer in the source and its target goes; a new one is adopted and read whole."""
+    at, keys = _work(spark), {"customer": "c_custkey", "supplier": "s_suppkey", "nation": "n_nationkey"}
+    targets = lambda spec: Target(spark, f"{at}/{spec.name}", [keys[spec.name]])
+    spec = lambda name: runs.ObjectSpec(name, [keys[name]], group=name)
+    for present in (["customer", "nation"], ["supplier", "nation"]):
+        listing = spark.createDataFrame([(x,) for x in present], "object_name string")
+        runs.run(spark, [spec("customer"), spec("nation")], lambda name: _t(spark, sf, name), targets, f"{at}/log", listing=listing, adopt=spec, drop=True)
+    counts = [Target(spark, f"{at}/{x}", [keys[x]]).read().agg(F.lit(x).alias("object"), F.count("*").alias("n")) for x in ("supplier", "nation")]
+    gone = spark.createDataFrame([("customer", None)], "object string, n bigint") if not targets(spec("customer")).columns() else counts[0]
+    return counts[0].union(counts[1]).union(gone)
+
+
+@_query("SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'later' ELSE s_name END AS s_name FROM supplier")
+def run_csv(spark, sf):
+    """A folder of CSV files, and files that come later and repeat keys."""
+    at, s = _work(spark), _t(spark, sf, "supplier").select("s_suppkey", "s_name")
+    spec, targets = runs.ObjectSpec("supplier", ["s_suppkey"], kind="csv", incremental={"_file_time": datetime.datetime(1970, 1, 1)}), _target(spark, at, ["s_suppkey"])
+    for rows in (s, s.where("s_suppkey % 4 = 0").withColumn("s_name", F.lit("later"))):
+        rows.write.mode("append").option("header", True).csv(f"{at}/in")
+        found = sources.csv(spark, f"{at}/in", sources.csv_schema(spark, f"{at}/in"))
+        runs.run(spark, [spec], lambda _, df=found: df, targets, f"{at}/log")
+    return targets(spec).read()
+
+
+@_query("""SELECT CAST(event_id AS VARCHAR) AS _id, CASE WHEN user_id % 2 = 0 OR event_id % 3 = 0 THEN regexp_replace(regexp_replace(event_type,'[a-zA-Z]','X','g'),'[0-9]','9','g') END AS event_type FROM events""")
+def run_documents(spark, sf):
+    """Documents by an increment over a time and a number, one field masked."""
+    at, e = _work(spark), _t(spark, sf, "events")
+    when = F.date_format(F.timestamp_seconds("event_id") + F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    e = e.select("event_id", "event_type", F.when(F.col("user_id") % 2 == 0, when).otherwise(None).alias("at"), F.when(F.col("event_id") % 3 == 0, F.col("event_id") + 1).alias("n"))
+    docs = sources.documents(e, "event_id", ["event_type", "at", "n"])
+    spec, targets = runs.ObjectSpec("events", ["_id"], kind="documents", incremental={"at": datetime.datetime(1970, 1, 1), "n": 0}, masked=["event_type"]), _target(spark, at, ["_id"])
+    for rows in (docs.where("CAST(_id AS BIGINT) < 4000"), docs):
+        runs.run(spark, [spec], lambda _, df=rows: df, targets, f"{at}/log")
+    out = targets(spec).read().select("_id", F.get_json_object("document", "$.event_type").alias("event_type"))
+    return e.select(F.col("event_id").cast("string").alias("_id")).join(out, "_id", "left")
+
+
+@_query("SELECT event_id, user_id FROM events WHERE user_id > 10 OR event_id > 5000")
+def run_limited(spark, sf):
+    """A limit over two keys, read by read, until nothing is left: no row is passed over."""
+    at, e = _work(spark), _t(spark, sf, "events").select("event_id", "user_id")
+    size = -(-e.count() // 3)
+    spec, targets = runs.ObjectSpec("events", ["event_id"], incremental={"user_id": 10, "event_id": 5000}, limit=size), _target(spark, at, ["event_id"])
+    for _ in range(12):
+        if not runs.run(spark, [spec], lambda _: e, targets, f"{at}/log").first().records:
+            return targets(spec).read()
+    raise RuntimeError("the limited reads do not end")
+
+
+@_query(_APPLIED.replace("FROM events", "FROM events WHERE ts >= TIMESTAMP '2024-01-10'"))
+def stream_since(spark, sf):
+    """Two streams into one target, from a log position on."""
+    at = _work(spark)
+    target = Target(spark, f"{at}/target", ["k"])
+    target.apply(_customers(spark, sf), "first")
+    for i, part in enumerate(("_seq % 2 = 1", "_seq % 2 = 0")):
+        _events(spark, sf).where(part).write.parquet(f"{at}/in{i}")
+        stream = change_stream(spark, f"{at}/in{i}", "_op string, _ts timestamp, _seq bigint, k bigint, seq bigint", since=datetime.datetime(2024, 1, 10))
+        apply_stream(stream, target, f"{at}/checkpoint{i}").awaitTermination()
+    return target.read().select("k", "seq")
+
+
+# --- reports over a log of every kind of action ------------------------------------------------
+
+
+def _full_log(spark, sf):
+    day = F.dayofmonth("ts")
+    runs_ = _t(spark, sf, "events").groupBy(F.col("event_type").alias("object"), day.alias("day")).agg(F.count("*").alias("records"), F.min("ts").cast("timestamp").alias("start_ts"), F.max("ts").cast("timestamp").alias("end_ts"), F.max("event_id").alias("k"))
+    kind = F.when(F.col("object").isin("click", "view"), "SNAPSHOT").otherwise("INCREMENTAL")
+    ddls = F.array_repeat(F.lit("ADD COLUMN x int"), (F.col("day") % 3).cast("int"))
+    return runs_.select("object", kind.alias("read_type"), F.when(F.col("day") % 4 == 0, "DELETE_SYNC").otherwise("READ").alias("action"), "start_ts", "end_ts", "records", F.when(F.col("records") % 2 == 0, "ERROR").otherwise("SUCCESS").alias("status"),
+        F.lit("").alias("status_description"), F.create_map(F.lit("event_id"), F.col("k").cast("string")).alias("keys"), ddls.alias("ddls"), (F.col("day") % 5 == 0).cast("int").alias("object_reload"), (F.col("day") % 7 == 0).cast("int").alias("schema_reload"), F.col("day").cast("long").alias("commit_id"))
+
+
+_FULL = """WITH r AS (SELECT event_type AS object, day(ts) AS d, count(*) AS records, min(ts) AS s, max(ts) AS e, max(event_id) AS k FROM events GROUP BY 1, 2),
+a AS (SELECT *, d % 4 = 0 AS sync, CASE WHEN object IN ('click','view') THEN 'SNAPSHOT' ELSE 'INCREMENTAL' END AS kind, CASE WHEN records % 2 = 0 THEN 'ERROR' ELSE 'SUCCESS' END AS status FROM r),
+st AS (SELECT object, max(kind) AS read_type, max(s) FILTER (NOT sync) AS rs, arg_max(e, s) FILTER (NOT sync) AS re, arg_max(records, s) FILTER (NOT sync) AS rr, arg_max(k, s) FILTER (NOT sync) AS rk, arg_max(status, s) FILTER (NOT sync) AS rstat,
+  max(s) FILTER (sync) AS ds, arg_max(e, s) FILTER (sync) AS de, arg_max(records, s) FILTER (sync) AS dr, CAST(coalesce(sum(records) FILTER (NOT sync), 0) AS BIGINT) AS total, CAST(sum(d % 3) AS BIGINT) AS ddls,
+  CAST(sum(CASE WHEN d % 5 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS o, CAST(sum(CASE WHEN d % 7 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS sr, max(d) AS c, arg_max(status, s) AS last_status, arg_max(e, s) AS last_e FROM a GROUP BY object)"""
+
+
+@_query(_FULL + """ SELECT object, read_type, epoch(rs) AS last_read_start, epoch(re) AS last_read_end, rr AS last_read_records, 'event_id(' || rk || ')' AS last_read_keys, rstat AS last_read_status, epoch(ds) AS last_delete_sync_start,
+ epoch(de) AS last_delete_sync_end, dr AS last_delete_sync_keys, total AS total_records, ddls AS total_ddls, o AS total_object_reloads, sr AS total_schema_reloads, CAST(c AS BIGINT) AS last_commit_id FROM st""")
+def object_report(spark, sf):
+    out = reports.statistics(_full_log(spark, sf)).drop("last_read_status_description")
+    return out.withColumns({c: F.unix_micros(c) / 1e6 for c in ("last_read_start", "last_read_end", "last_delete_sync_start", "last_delete_sync_end")})
+
+
+@_query(_FULL + """ SELECT count(*) AS total_objects, count(*) FILTER (last_status = 'ERROR') AS failed_objects, count(*) FILTER (read_type = 'SNAPSHOT') AS snapshot_objects, count(*) FILTER (read_type = 'INCREMENTAL') AS incremental_objects,
+ epoch(max(rs)) AS last_read_start, epoch(max(re)) AS last_read_end, epoch(max(ds)) AS last_delete_sync_start, epoch(max(de)) AS last_delete_sync_end, CAST(sum(total) AS BIGINT) AS total_records, epoch(max(last_e)) AS last_heartbeat, epoch(greatest(max(rs), max(ds))) AS last_job_start FROM st""")
+def job_report(spark, sf):
+    out = reports.totals(_full_log(spark, sf))
+    return out.withColumns({c: F.unix_micros(c) / 1e6 for c in ("last_read_start", "last_read_end", "last_delete_sync_start", "last_delete_sync_end", "last_heartbeat", "last_job_start")})
+
+
+@_query("SELECT (SELECT count(DISTINCT (o_custkey, o_orderstatus = 'O')) FROM orders) AS checkpoints, (SELECT count(*) FILTER (c_custkey % 5 <> 0) FROM customer) AS enabled_objects")
+def state_counts(spark, sf):
+    return state.counts(state.initial(_keys(spark, sf)), _specs(spark, sf), "enable")
+
+
+@_query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate > TIMESTAMP '1998-01-01' AND o_orderdate <= (SELECT max(o_orderdate) FROM orders)")
+def incremental_converted(spark, sf):
+    """Bounds that an expression makes of their text."""
+    return increment.read(_t(spark, sf, "orders"), {"o_orderdate": T1998}, convert="to_timestamp_ntz($, 'yyyy-MM-dd HH:mm:ss')")[0].select("o_orderkey", "o_orderdate")
+
+
+@_query("SELECT c_custkey, left(c_name, 2) || '***' AS c_name FROM customer")
+def mask_callable(spark, sf):
+    return log.mask(_t(spark, sf, "customer").select("c_custkey", "c_name"), ["c_name"], masker=lambda v: F.concat(F.left(v, F.lit(2)), F.lit("***")))
+
+
 def queries() -> dict[str, _Query]:
     return dict(_QUERIES)
 

@@ -20,7 +20,10 @@ def snapshot(df: DataFrame, columns: list[str] | None = None, conditions: list[s
 
 
 def jdbc(spark: SparkSession, url: str, table: str, conditions: list[str] | None = None, init: str | None = None, **options: str) -> DataFrame:
-    """A table by JDBC: one partition per condition, ``init`` runs on each new connection; ranges and maxima reach the source."""
+    """A table by JDBC: one partition per condition, ``init`` runs on each new connection.
+
+    Ranges and the choice of columns reach the source. Maxima do so for a table of ``catalog.jdbc_catalog``, not here.
+    """
     if init:
         options["sessionInitStatement"] = init
     if conditions:
@@ -44,15 +47,23 @@ class CsvDialect:
 
 
 def csv_schema(spark: SparkSession, path: str, dialect: CsvDialect = CsvDialect()) -> T.StructType:
-    """Text columns named by the first line found, or ``col1..colN`` without a header."""
-    line = spark.read.option("recursiveFileLookup", True).text(path).where("trim(value) <> ''").limit(1)
-    row = line.select(F.from_csv("value", F.lit("x string"), {"sep": dialect.sep}).alias("x"), F.size(F.split("value", "\\Q" + dialect.sep + "\\E")).alias("n"), "value").first()
-    if row is None:
+    """Text columns named by the first line of the first file by path, or ``col1..colN`` without a header.
+
+    A blank name becomes ``col`` and its place, so the names after it stay with their columns. Without any line
+    the schema is empty. Only the first lines travel: one for each file.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("row"))
+    # Blocks of a file keep their order, and rows theirs within a block.
+    line = lines.where("trim(value) <> ''").agg(F.min_by("value", F.struct("file", "at", "row")).alias("value"))
+    if line.first().value is None:
         return T.StructType()
-    fields = ", ".join(f"c{i} string" for i in range(row.n))
+    n = line.select(F.size(F.split("value", "\\Q" + dialect.sep + "\\E"))).first()[0]
     options = {"sep": dialect.sep, "quote": dialect.quote, "escape": dialect.escape, "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
-    names = [x for x in line.select(F.from_csv("value", F.lit(fields), options).alias("x")).select("x.*").first() if x is not None]
-    return T.StructType([T.StructField(x if dialect.header else f"col{i}", T.StringType()) for i, x in enumerate(names, 1)])
+    # A separator inside quotes counts too many; the sentinel behind the line tells where it ends.
+    fields, end = ", ".join(f"c{i} string" for i in range(n + 1)), "\ue000"
+    found = list(line.select(F.from_csv(F.concat("value", F.lit(dialect.sep + end)), F.lit(fields), options).alias("x")).select("x.*").first())
+    names = found[: found.index(end)]
+    return T.StructType([T.StructField(x.strip() if dialect.header and x and x.strip() else f"col{i}", T.StringType()) for i, x in enumerate(names, 1)])
 
 
 def csv(spark: SparkSession, path: str, schema: T.StructType | str, dialect: CsvDialect = CsvDialect(), after: Any = None) -> DataFrame:
@@ -82,6 +93,12 @@ def document_field(column: str, field: str, kind: str) -> Any:
     return F.get_json_object(column, f"$.{field}").try_cast(kind)
 
 
+def document_key(column: str, field: str) -> Any:
+    """A field of a JSON document as a number that orders it: itself, or the milliseconds of a time; null if neither."""
+    value = F.get_json_object(column, f"$.{field}")
+    return F.coalesce(value.try_cast("double"), F.unix_millis(F.try_to_timestamp(value)).cast("double"))
+
+
 def log_position(events: DataFrame, ts: str) -> DataFrame:
     """The newest time of the operation log, to be kept before a snapshot is taken."""
     return events.agg(F.max(ts).alias("log_ts"))

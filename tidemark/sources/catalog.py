@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import declared_type, nullability
+from ..operators.schema import definitions
 
 
 def list_objects(tables: DataFrame, pattern: str = "%", kind: str = "ALL") -> DataFrame:
-    """(object_name, object_type) of tables and/or views by name, from (object_name, table_type)."""
+    """(object_name, object_type) of tables and/or views by name, each once, from (object_name, table_type); null names are left out."""
     named = tables.where(F.col("object_name").like(pattern))
     parts = {"TABLE": "BASE TABLE", "VIEW": "VIEW"}
     picked = [named.where(F.col("table_type") == t).select("object_name", F.lit(k).alias("object_type")) for k, t in parts.items() if kind in (k, "ALL")]
@@ -19,6 +20,54 @@ def list_objects(tables: DataFrame, pattern: str = "%", kind: str = "ALL") -> Da
     return out.distinct()
 
 
+def jdbc_catalog(spark: SparkSession, name: str, url: str, **options: str) -> str:
+    """Register a database as the catalogue ``name``: its tables are ``name.schema.table``, and bounds, columns and maxima reach it."""
+    for key, value in {"": "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog", ".url": url, ".pushDownAggregate": "true", **{f".{k}": v for k, v in options.items()}}.items():
+        spark.conf.set(f"spark.sql.catalog.{name}{key}", value)
+    return name
+
+
+def jdbc_objects(spark: SparkSession, catalog: str, schema: str, pattern: str = "%") -> DataFrame:
+    """(object_name, object_type) of the tables in a schema of a registered catalogue, by name; one row per table."""
+    tables = spark.sql(f"SHOW TABLES IN `{catalog}`.`{schema}`")
+    return tables.where(F.col("tableName").like(pattern)).select(F.col("tableName").alias("object_name"), F.lit("TABLE").alias("object_type")).distinct()
+
+
+def described(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """(tbl, ord, col, def) of the columns of named frames; a name in another case than an earlier one of its table is left out.
+
+    Only schemas are read, on the driver: one row for each column.
+    """
+    rows = []
+    for tbl, df in tables.items():
+        seen: set[str] = set()
+        for ord_, (col, kind) in enumerate(definitions(df), 1):
+            if col.lower() not in seen:
+                seen.add(col.lower())
+                rows.append((tbl, ord_, col, kind))
+    return spark.createDataFrame(rows, "tbl string, ord int, col string, def string")
+
+
+# Fixed names: the standard's catalogue views and the columns of them that discovery needs.
+_VIEWS = {
+    "tables": "SELECT table_schema, table_name AS object_name, table_type FROM information_schema.tables",
+    "columns": "SELECT table_schema, table_name AS tbl, column_name AS col, ordinal_position AS ord, data_type AS dt, character_maximum_length AS len, numeric_precision AS prec, numeric_scale AS scale, is_nullable AS nullable{udt} FROM information_schema.columns",
+    "constraints": "SELECT table_schema, table_name AS tbl, constraint_name AS cname, constraint_type AS ctype FROM information_schema.table_constraints",
+    "usage": "SELECT table_schema, table_name AS tbl, constraint_name AS cname, column_name AS col, ordinal_position AS ord FROM information_schema.key_column_usage",
+}
+
+
+def information_schema(spark: SparkSession, url: str, view: str, schema: str, udt: bool = False, **options: str) -> DataFrame:
+    """One of the views ``tables``, ``columns``, ``constraints``, ``usage`` of a database's schema, as the functions below take it.
+
+    The schema is a filter that reaches the source. ``udt``: the database has ``udt_name`` (else it is null).
+    """
+    query = _VIEWS[view].format(udt=", udt_name AS udt" if udt else "")
+    rows = spark.read.options(**options).format("jdbc").option("url", url).option("dbtable", f"({query}) v").load()
+    rows = rows.toDF(*[c.lower() for c in rows.columns]).where(F.col("table_schema") == schema).drop("table_schema")
+    return rows.withColumn("udt", F.lit(None).cast("string")) if view == "columns" and not udt else rows
+
+
 def list_folders(spark: SparkSession, path: str) -> DataFrame:
     """The names of the folders directly below ``path`` that hold files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
@@ -45,6 +94,7 @@ def unique_keys(constraints: DataFrame, usage: DataFrame) -> DataFrame:
 
 
 def new_objects(source: DataFrame, known: DataFrame, name: str = "object_name") -> DataFrame:
+    """The names of the source that are not known, each once; a null name equals nothing, so it counts as new."""
     return source.select(name).distinct().join(known.select(name), name, "left_anti")
 
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.store import Target
@@ -14,16 +18,46 @@ def csv_stream(spark: SparkSession, path: str, schema: str, dialect: CsvDialect
     return spark.readStream.options(**dialect.options()).option("maxFilesPerTrigger", files).schema(schema).csv(path)
 
 
+def change_stream(spark: SparkSession, path: str, schema: str, since: Any = None, form: str = "parquet", files: int = 1000) -> DataFrame:
+    """Change records from files below ``path``; ``since``: only those of that time or later.
+
+    ``since`` is the log position that was kept before a snapshot (``sources.log_position``). Records of that very time come once more,
+    which a merge by order doesn't mind. After a restart the checkpoint goes on where it was; a null time is
+    never before ``since``, so its record stays.
+    """
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).format(form).load(path)
+    return rows if since is None else rows.where(F.col("_ts").isNull() | (F.col("_ts") >= F.lit(since)))
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """A name that belongs to a checkpoint folder: made with it, the same after a restart."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/target-stream-id")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, False)
+        try:
+            out.write(bytearray(uuid.uuid4().hex.encode()))
+        finally:
+            out.close()
+    found = fs.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(found, "UTF-8")
+    finally:
+        found.close()
+
+
 def apply_stream(changes: DataFrame, target: Target, checkpoint: str, name: str = "changes", interval: str | None = None) -> StreamingQuery:
     """Merge a stream of change records (``_op``, ``_ts``, ``_seq``, columns) into ``target``.
 
-    Each micro-batch commits under its number, so one that is replayed after a failure changes nothing. Late
+    Each micro-batch commits under its number in the stream that its checkpoint folder belongs to, so one that is replayed after a
+    failure changes nothing, and other streams into the same target have numbers of their own. Late
     changes lose against newer rows by their order, so no watermark is needed. ``interval``
-    None reads what there is and stops.
+    None reads what there is and stops; otherwise the source is looked at every so often.
     """
+    stream = f"{name}/{_stream_id(changes.sparkSession, checkpoint)}"
 
     def merge(batch: DataFrame, number: int) -> None:
-        target.apply(batch, f"{name}/{number}")
+        target.apply(batch, number, stream=stream)
 
     writer = changes.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
