@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, saved, whole_groups
+from .common import connected_components, per_key, saved, whole_groups
 from .shingles import mixed, shingle_sets
 
 #: Depths at which a region may be cut.
@@ -77,6 +77,7 @@ def least_equal(n: int, percent: int, errors: float) -> int:
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = TREES, depths: tuple[int, ...] = DEPTHS, width: int = WIDTH, region: int = 64, grid: int = 4096, errors: float = 5.0) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept.
 
+    Ids are whole numbers (or cast to them; others fail the job).
     Documents link when ``100 * |A & B| >= percent * |A | B|`` of their shingle sets; a component is
     all that is reachable. A null text, or one without words, has an empty set and links
     with nothing. Repeated ids are separate rows. A row with a null id takes part; a
@@ -134,7 +135,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     found, crowded = [], []
     for depth, name in zip(depths, names, strict=True):
-        counts = open_rows.groupBy("tree", name).agg(F.count("*").alias("c")).where("c > 1")
+        counts = per_key(open_rows, ["tree", name], F.count("*").alias("c")).where("c > 1")
         shared = saved(open_rows.join(counts, ["tree", name]).select("node", "tree", *names, "c"))
         members = shared.select("node", "tree", F.lit(depth).alias("depth"), F.col(name).alias("key"), "c")
         found.append(members.where(F.col("c") <= region).drop("c"))
@@ -152,8 +153,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         part = members.join(distinct.select("node", "sig"), "node")
         keys = ["tree", "depth", "key"]
         if big:
-            order = [*keys, F.substring(F.col("sig"), F.col("tree") * (2 * width) + 1, F.lit(2 * width)), "sig", "node"]
-            return part.repartitionByRange(*order).sortWithinPartitions(*order)
+            order = [*keys, F.substring(F.col("sig"), F.col("tree") * (2 * width) + 1, F.lit(2 * width))]
+            # The ranges are found from samples that reach the driver, so whole signatures only order the rows inside one.
+            return part.repartitionByRange(*order, "node").sortWithinPartitions(*order, "sig", "node")
         return part.repartition(*keys).sortWithinPartitions(*keys, "sig", "node")
 
     def roots(n: int):
@@ -253,7 +255,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     yes = F.lit(True)
     open_small = in_small.join(split, keys).select(*keys, F.lit(0).alias("block"), "node", "part", yes.alias("own"), yes.alias("far"), yes.alias("minor"))
     sizes = in_large.groupBy(*keys, "part").agg(F.count("*").alias("c"))
-    main = sizes.groupBy(*keys).agg(F.max(F.struct("c", "part")).alias("m"), F.sum("c").alias("c"), F.count("*").alias("parts")).where("parts > 1")
+    main = per_key(sizes, keys, F.max(F.struct("c", "part")).alias("m"), F.sum("c").alias("c"), F.count("*").alias("parts")).where("parts > 1")
     main = main.select(*keys, F.col("m.part").alias("most"), F.ceil(F.col("c") / (4 * region)).cast("int").alias("across"), F.ceil((F.col("c") - F.col("m.c")) / (8 * region)).cast("int").alias("down"))
     dealt = in_large.join(main, keys).withColumn("minor", F.col("part") != F.col("most"))
     dealt = dealt.withColumn("x", F.pmod(F.xxhash64("node"), F.col("across")).cast("int")).withColumn("y", F.pmod(F.xxhash64("node", F.lit(1)), F.col("down")).cast("int"))
@@ -301,9 +303,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.RecordBatch.from_arrays([*(c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns), pa.array(number[at]), *lists], [*group, "node", "part", "number", "partners", "likes"])
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The links of a block that join components."""
+        """The links of a block that join components, as pairs of components."""
         for tab, bounds in whole_groups(batches, group):
-            node, part, number, partners, likes, full_sets = (tab.column(c).to_pylist() for c in ("node", "part", "number", "partners", "likes", "s"))
+            part, number, partners, likes, full_sets = (tab.column(c).to_pylist() for c in ("part", "number", "partners", "likes", "s"))
             out = []
             for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 top, join = roots(hi - lo)
@@ -316,7 +318,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 for _, x, y in sorted(pairs):
                     if top(x) != top(y) and linked(shingles[x], shingles[y]):
                         join(x, y)
-                        out.append((node[lo + x], node[lo + y]))
+                        out.append((part[lo + x], part[lo + y]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["a", "b"])
 
@@ -325,12 +327,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rest = saved(signed.repartition(*group).sortWithinPartitions(*group).mapInArrow(tries, row))
     brought = rest.join(sets, "node").select(*group, "node", "part", "number", "partners", "likes", "s").repartition(*group).sortWithinPartitions(*group)
     more = saved(brought.mapInArrow(settle, pair_type))
-    if not more.isEmpty():
-        parts = saved(connected_components(links.union(more)))
-
     known = rows.join(parts, "node", "left").select("id", "n", F.coalesce("component", "node").alias("component"))
+    if not more.isEmpty():
+        moved = connected_components(more).select(F.col("node").alias("component"), F.col("component").alias("to"))
+        known = known.join(moved, "component", "left").select("id", "n", F.coalesce("to", "component").alias("component"))
     known = saved(known)
-    firsts = known.where("component is not null").groupBy("component").agg(F.min("id").alias("component_id"))
+    firsts = per_key(known.where("component is not null"), ["component"], F.min("id").alias("component_id"))
     joined = known.join(firsts, "component", "left")
     component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
