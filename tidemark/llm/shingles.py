@@ -77,7 +77,7 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     h, offsets = word_hashes(texts)
     n = len(h)
     rolled = np.zeros(n, np.uint64)
-    for k in range(size):
+    for k in range(min(size, n)):
         rolled *= _STEP
         rolled[: n - k] += h[k:]
     rolled = mixed(rolled)
