@@ -297,6 +297,14 @@ def merge_replace(spark, sf):
     return merge.replace(c.where("c_custkey < 1000").select("c_custkey", "c_name"), src, ["c_custkey"])
 
 
+@_query("WITH dst AS (SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 <> 0), src AS (SELECT c_custkey, c_mktsegment AS c_name FROM customer WHERE c_custkey % 2 = 0) SELECT c_custkey, c_name FROM dst WHERE c_custkey NOT IN (SELECT c_custkey FROM src) UNION ALL SELECT c_custkey, c_name FROM src")
+def merge_replace_shares(spark, sf):
+    """As ``merge_replace``, over shares of the whole table."""
+    c = _t(spark, sf, "customer")
+    src = c.where("c_custkey % 2 = 0").select("c_custkey", F.col("c_mktsegment").alias("c_name"))
+    return merge.replace(c.where("c_custkey % 3 <> 0").select("c_custkey", "c_name"), src, ["c_custkey"])
+
+
 # --- schemas and catalogues ------------------------------------------------------------------
 
 
