@@ -306,3 +306,18 @@ def test_information_schema(spark):
     assert got(catalog.list_objects(view("tables"))) == [("a", "TABLE"), ("v", "VIEW")]
     assert got(catalog.column_definitions(view("columns")).select("tbl", "definition")) == [("a", '"my name" VARCHAR(20) NULL'), ("a", "id NUMERIC(10,2) NOT NULL")]
     assert got(catalog.unique_keys(view("constraints"), view("usage"))) == [("a", "x,y")]
+
+
+def test_a_stream_that_looks_every_second(spark, tmp_path):
+    shape = "_op string, _ts timestamp, _seq bigint, k int, v string"
+    target = Target(spark, str(tmp_path / "t"), ["k"], buckets=1)
+    put = lambda k: records(spark, [(k, "a")]).drop("_batch").withColumn("_seq", F.lit(1).cast("long")).write.mode("append").parquet(str(tmp_path / "in"))
+    put(1)
+    query = apply_stream(change_stream(spark, str(tmp_path / "in"), shape), target, str(tmp_path / "cp"), interval="1 second")
+    try:
+        for k in (1, 2):
+            put(k)
+            query.processAllAvailable()
+        assert got(target.read().select("k")) == [(1,), (2,)]
+    finally:
+        query.stop()

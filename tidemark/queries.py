@@ -407,8 +407,8 @@ SELECT k.tbl, string_agg(k.col, ',' ORDER BY k.ord) AS key_columns FROM pick p J
 def pick_unique_key(spark, sf):
     line = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("tbl"), F.concat(F.lit("c"), F.col("l_suppkey").cast("string")).alias("cname"), "l_suppkey", F.col("l_linenumber").alias("ord"))
     kinds = F.array(*map(F.lit, ["FOREIGN KEY", "UNIQUE", "UNIQUE", "PRIMARY KEY"]))
-    tc = line.select("tbl", "cname", F.element_at(kinds, ((F.col("l_suppkey") + F.col("tbl")) % 4 + 1).cast("int")).alias("ctype")).distinct()
-    kcu = line.select("tbl", "cname", F.concat(F.lit("k"), F.col("ord").cast("string")).alias("col"), "ord").distinct()
+    tc = line.select("tbl", "cname", F.element_at(kinds, ((F.col("l_suppkey") + F.col("tbl")) % 4 + 1).cast("int")).alias("ctype"))
+    kcu = line.select("tbl", "cname", F.concat(F.lit("k"), F.col("ord").cast("string")).alias("col"), "ord")
     return catalog.unique_keys(tc, kcu)
 
 

@@ -85,12 +85,18 @@ def column_definitions(columns: DataFrame) -> DataFrame:
 
 
 def unique_keys(constraints: DataFrame, usage: DataFrame) -> DataFrame:
-    """(tbl, key_columns): the primary key of each table, else its first unique constraint by name; columns in order."""
-    fit = constraints.where(F.col("ctype").isin("PRIMARY KEY", "UNIQUE"))
-    rank = F.struct(F.when(F.col("ctype") == "PRIMARY KEY", 0).otherwise(1), "cname")
-    pick = fit.groupBy("tbl").agg(F.min_by("cname", rank).alias("cname"))
-    cols = pick.join(usage, ["tbl", "cname"]).groupBy("tbl").agg(F.array_sort(F.collect_list(F.struct("ord", "col"))).alias("c"))
-    return cols.select("tbl", F.array_join(F.transform("c", lambda x: x["col"]), ",").alias("key_columns"))
+    """(tbl, key_columns): the primary key of each table, else its first unique constraint by name; columns in order.
+
+    Rows that repeat count once; a table whose constraint has no columns is left out. One shuffle by table, in which
+    the column lists of all its constraints meet.
+    """
+    rank = F.when(F.col("ctype") == "PRIMARY KEY", 0).otherwise(1)
+    place, column = F.struct(rank.alias("rank"), "cname"), F.struct("cname", "ord", "col")
+    fit = constraints.where(F.col("ctype").isin("PRIMARY KEY", "UNIQUE")).select("tbl", place.alias("place")).withColumn("column", F.lit(None))
+    both = fit.unionByName(usage.select("tbl", F.lit(None).alias("place"), column.alias("column")))
+    found = both.groupBy("tbl").agg(F.min("place")["cname"].alias("cname"), F.collect_set("column").alias("columns"))
+    own = F.array_sort(F.transform(F.filter("columns", lambda x: x["cname"] == F.col("cname")), lambda x: F.struct(x["ord"].alias("ord"), x["col"].alias("col"))))
+    return found.select("tbl", "cname", own.alias("c")).where("cname IS NOT NULL AND size(c) > 0").select("tbl", F.array_join(F.transform("c", lambda x: x["col"]), ",").alias("key_columns"))
 
 
 def new_objects(source: DataFrame, known: DataFrame, name: str = "object_name") -> DataFrame:
