@@ -48,6 +48,8 @@ def test_a_reopened_target_keeps_its_buckets_and_key(spark, tmp_path):
 
 def test_buckets_follow_the_first_batch_and_can_be_split(spark, tmp_path):
     target = Target(spark, str(tmp_path / "t"), ["k"], bucket_rows=10)
+    target.apply(records(spark, [(1, "a")]).where("false"), "0")
+    assert target.manifest()["buckets"] is None and target.read().count() == 0
     target.apply(records(spark, [(i, "a") for i in range(500)]), "1")
     assert target.manifest()["buckets"] == 50
     want = got(target.read())
@@ -133,7 +135,7 @@ def test_the_checkpoint_moves_with_the_rows_read(spark, tmp_path):
 def test_another_set_of_keys_starts_again(spark, tmp_path):
     df = spark.createDataFrame([(1, 5, 1), (2, 7, 2)], "k int, u int, w int")
     read = lambda **keys: _go(spark, tmp_path, [runs.ObjectSpec("o", ["k"], **keys)], df)[0]["o"].records
-    assert [read(incremental={"u": 0}), read(incremental={"u": 0}), read(incremental={"w": 0}), read(incremental={"w": 0}), read(), read()] == [2, 0, 2, 0, 2, 0]
+    assert [read(incremental={"u": 0}), read(incremental={"u": 0}), read(incremental={"w": 0}), read(incremental={"w": 0}), read(incremental={"w": 0, "u": 0}), read(), read()] == [2, 0, 2, 0, 2, 2, 0]
 
 
 def test_rows_with_null_keys_come_once_by_themselves(spark, tmp_path):

@@ -116,7 +116,8 @@ def read_object(spec: ObjectSpec, source: DataFrame, target: Target, run_id: str
     """
     source, first, names = _keyed(spec, source)
     saved, ddls = target.manifest()["checkpoint"], []
-    if {k for k in saved if k not in _MARKS} - {*names.values()} or (first and saved.get("_snapshot_done")):
+    before = {k for k in saved if k not in _MARKS}
+    if (before and before != {*names.values()}) or (first and saved.get("_snapshot_done")):
         target.forget()
         saved = {}
     lower, upper = {}, {}

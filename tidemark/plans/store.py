@@ -137,15 +137,15 @@ class Target:
             schema = T.StructType([*[f for f in old.fields if f.name not in _META.names], *new, *_META.fields])
         changes = evolve(checked(changes, self.keys), schema)
         if state["buckets"] is None:
-            state["buckets"] = self.buckets or max(16, -(-changes.count() // self.bucket_rows))
+            rows_there = changes.count()
+            state["buckets"] = self.buckets or (max(16, -(-rows_there // self.bucket_rows)) if rows_there else None)
         n = state["buckets"]
-        # At most one value for each bucket; only the key is read.
-        touched = [r[0] for r in changes.select(self._bucket(n).alias("b")).distinct().collect()]
-        rows = latest(changes, self.keys, ORDER).withColumn("_new", F.lit(1))
-        stored = self._stored(state, touched)
-        if stored is not None:
-            rows = evolve(stored, schema).withColumn("_new", F.lit(0)).unionByName(rows)
+        # At most one value for each bucket; only the key is read. A first batch without rows sets no number yet.
+        touched = [r[0] for r in changes.select(self._bucket(n).alias("b")).distinct().collect()] if n else []
         if touched:
+            rows, stored = latest(changes, self.keys, ORDER).withColumn("_new", F.lit(1)), self._stored(state, touched)
+            if stored is not None:
+                rows = evolve(stored, schema).withColumn("_new", F.lit(0)).unionByName(rows)
             rows = self._gathered(rows.withColumn("_bucket", self._bucket(n)), len(touched))
             last = latest(rows, ["_bucket", *self.keys], [*ORDER, "_new"]).drop("_new")
             folder = self._write(last)
