@@ -12,7 +12,7 @@ beside the arcs u of that time. Written out, a vocabulary of 50,000 tokens would
 its origin and time and for each gadget the arc it cuts. ``Automaton.step`` resolves an
 arc from these and keeps it in the transition table.
 
-A word is encoded by walking the table over all token labels that spell it. Every prefix of
+A word is encoded by walking the table over the token labels that spell it. Every prefix of
 a word has one correct tokenisation, so one arc arrives at each position, and the
 walk is deterministic. Decoding emits the labels of the arcs.
 """
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .presplit import byte_letters, lower_case_words
+from .presplit import WordSplit, byte_letters
 
 _FREE = 1 << 60
 
@@ -48,8 +48,8 @@ class Automaton:
         self.labels = [""] * size
         for label, i in [*vocab.items(), *added.items()]:
             self.labels[i] = label
-        self.added = {k: np.int32(i).tobytes() for k, i in added.items()}
-        self.added_pattern = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        self.added = {k.encode(): np.int32(i).tobytes() for k, i in added.items()}
+        self.added_pattern = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + b")") if added else None
         self.size = size
         #: Time of each token's gadget (0: a base symbol), and what its arc and its state were copied from.
         self.time, self.arc_of, self.fork_of = [0] * size, [0] * size, [0] * size
@@ -58,12 +58,26 @@ class Automaton:
         for k, merge in enumerate(model["merges"], 1):
             u, v = (vocab[x] for x in (merge.split(" ") if isinstance(merge, str) else merge))
             self._gadget(u, v, vocab[self.labels[u] + self.labels[v]], k)
+        letters = {c: b for b, c in enumerate(byte_letters())}
+        spelled = lambda label: bytes([letters[c] for c in label])
         n = len(self.suffix)
-        self.inner = {label: i for label, i in vocab.items() if not (n and label.endswith(self.suffix))}
-        self.final = {label[: len(label) - n]: i for label, i in vocab.items() if label.endswith(self.suffix) and len(label) > n} if n else self.inner
-        self.longest = max(map(len, vocab))
+        self.inner = {spelled(label): i for label, i in vocab.items() if not (n and label.endswith(self.suffix))}
+        self.final = {spelled(label[: len(label) - n]): i for label, i in vocab.items() if label.endswith(self.suffix) and len(label) > n} if n else self.inner
+        #: Beginnings of tokens: where none goes on, a word need not be searched further.
+        self.begins = {x[:k] for x in (*self.inner, *self.final) for k in range(1, len(x))}
         self.table: dict[int, bool] = {}
-        self.letters = byte_letters()
+        self._arrays()
+
+    def _arrays(self) -> None:
+        """The same tables for many words at once: times and origins, cuts by key, and the tokens as a tree of bytes."""
+        self.times, self.arcs, self.forks = (np.array(x, np.int64) for x in (self.time, self.arc_of, self.fork_of))
+        self.cut_keys = np.array(sorted(self.cut), np.int64)
+        self.cut_times = np.array([self.cut[k] for k in self.cut_keys.tolist()], np.int64)
+        nodes = {x: i for i, x in enumerate(sorted({b"", *self.begins, *self.inner, *self.final}))}  # the root is 0
+        self.tree_keys, self.tree_nodes = (np.array(x, np.int64) for x in zip(*sorted((nodes[x[:-1]] * 256 + x[-1], i) for x, i in nodes.items() if x), strict=True))
+        self.token_inside, self.token_final = np.full(len(nodes), -1), np.full(len(nodes), -1)
+        for at, tokens in ((self.token_inside, self.inner), (self.token_final, self.final)):
+            at[[nodes[x] for x in tokens]] = list(tokens.values())
 
     def _gadget(self, u: int, v: int, uv: int, time: int) -> None:
         self.cut[u * self.size + v] = time
@@ -92,55 +106,133 @@ class Automaton:
             else:
                 return True
 
-    def word(self, letters: str) -> list[int]:
-        """The tokens of one word, given as the letters that stand for its bytes."""
-        n = len(letters)
+    def steps(self, state: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """``step`` for arrays."""
+        out = np.zeros(len(state), bool)
+        live, before = np.arange(len(state)), np.full(len(state), _FREE)
+        while len(live):
+            key = state * self.size + token
+            place = np.searchsorted(self.cut_keys, key)
+            place[place == len(self.cut_keys)] = 0
+            go = ~((self.cut_keys[place] == key) & (self.cut_times[place] < before))
+            s, t = self.times[state], self.times[token]
+            forked, laid = s > t, (s <= t) & (t > 0)
+            out[live[go & ~forked & ~laid]] = True
+            before = np.where(forked, s, t + 1)
+            state, token = np.where(forked, self.forks[state], state), np.where(laid, self.arcs[token], token)
+            go &= forked | laid
+            live, state, token, before = live[go], state[go], token[go], before[go]
+        return out
+
+    def word(self, text: bytes) -> list[int]:
+        """The tokens of one word."""
+        n = len(text)
         came: list[tuple[int, int] | None] = [None] * (n + 1)
-        inner, final, step = self.inner, self.final, self.step
+        inner, final, begins, step = self.inner, self.final, self.begins, self.step
         for i in range(n):
             here = came[i]
             if i and here is None:
                 continue
             state = here[1] if here else -1
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                token = inner.get(letters[i:j]) if j < n else final.get(letters[i:])
+            for j in range(i + 1, n + 1):
+                part = text[i:j]
+                token = inner.get(part) if j < n else final.get(part)
                 if token is not None and came[j] is None and (state < 0 or step(state, token)):
                     came[j] = (i, token)
+                if part not in begins:
+                    break
         out, at = [], n
         while at:
             if came[at] is None:
-                raise ValueError(f"no tokens spell {letters!r}")
+                raise ValueError(f"no tokens spell {text!r}")
             at, token = came[at]
             out.append(token)
         return out[::-1]
 
+    def words(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The tokens of each word: all walk the tables together, letter by letter."""
+        size = np.array([len(x) for x in texts], np.int64)
+        ends = np.cumsum(size + 1)
+        start = ends - size - 1  # a word of n bytes has the places 0 to n
+        text = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64)
+        token, origin = np.full(len(text), -1), np.full(len(text), -1)
+        for i in range(int(size.max(initial=0))):
+            at = start[size > i] + i
+            end = ends[size > i] - 1
+            if i:
+                some = token[at] >= 0
+                at, end = at[some], end[some]
+            node, to, from_ = np.zeros(len(at), np.int64), at.copy(), at
+            while len(to):
+                key = node * 256 + text[to]
+                place = np.searchsorted(self.tree_keys, key)
+                place[place == len(self.tree_keys)] = 0
+                go = self.tree_keys[place] == key
+                node, to, from_, end = self.tree_nodes[place[go]], to[go] + 1, from_[go], end[go]
+                new = np.where(to == end, self.token_final[node], self.token_inside[node])
+                fit = np.flatnonzero((new >= 0) & (token[to] < 0))
+                if i:
+                    fit = fit[self.steps(token[from_[fit]], new[fit])]
+                token[to[fit]], origin[to[fit]] = new[fit], from_[fit]
+                more = to < end
+                node, to, from_, end = node[more], to[more], from_[more], end[more]
+        # Back from the end of each word; all tokens of a word in reverse.
+        used = np.zeros(len(text), bool)
+        at = ends[size > 0] - 1
+        if (token[at] < 0).any():
+            raise ValueError("no tokens spell a word")
+        while len(at):
+            used[at] = True
+            at = origin[at]
+            at = at[token[at] >= 0]
+        counts = np.add.reduceat(used, start) if len(start) else np.zeros(0, np.int64)
+        return np.split(token[used].astype(np.int32), np.cumsum(counts)[:-1]) if len(texts) else []
+
 
 class Encoder(dict):
-    """Words -> ids as bytes; it forgets all words when it holds ``most``."""
+    """Runs of characters between ASCII white space, as bytes -> ids as bytes.
+
+    A word never crosses white space, so such a run is encoded by itself; it is cut into words as the vocabulary
+    file says. Runs and words are remembered, ``most`` of each beside those of the texts at hand; those of more than
+    ``short`` bytes are not, and are walked one by one.
+    """
 
-    def __init__(self, automaton: Automaton, split: Callable[[str], list[str]], most: int = 300_000) -> None:
+    def __init__(self, automaton: Automaton, split: Callable[[list[bytes]], list[list[bytes]]], most: int = 300_000, short: int = 64) -> None:
         super().__init__()
-        self.automaton, self.split, self.most = automaton, split, most
+        self.automaton, self.split, self.most, self.short = automaton, split, most, short
+        self.words: dict[bytes, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        letters = self.automaton.letters
-        ids = np.array(self.automaton.word("".join([letters[b] for b in word.encode()])), np.int32).tobytes()
-        self[word] = ids
-        return ids
+    def __missing__(self, run: bytes) -> bytes:
+        """A run that is too long to be remembered."""
+        return b"".join([self.words.get(w) or np.array(self.automaton.word(w), np.int32).tobytes() for w in self.split([run])[0]])
 
-    def encode(self, text: str) -> bytes:
-        added = self.automaton.added_pattern
-        if added is None or not added.search(text):
-            return b"".join(map(self.__getitem__, self.split(text)))
-        special = self.automaton.added
-        return b"".join(special[x] if x in special else b"".join(map(self.__getitem__, self.split(x))) for x in added.split(text) if x)
+    def learn(self, runs: set[bytes]) -> None:
+        new = [r for r in runs if len(r) <= self.short and r not in self]
+        if len(self) + len(new) > self.most:
+            self.clear()
+            new = [r for r in runs if len(r) <= self.short]
+        if len(self.words) > self.most:
+            self.words.clear()
+        cut = self.split(new)
+        unseen = list({w for ws in cut for w in ws if w not in self.words})
+        short = [w for w in unseen if len(w) <= self.short]
+        self.words.update(zip(short, [x.tobytes() for x in self.automaton.words(short)], strict=True))
+        ids = self.words
+        for run, ws in zip(new, cut, strict=True):
+            self[run] = b"".join([ids.get(w) or np.array(self.automaton.word(w), np.int32).tobytes() for w in ws])
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        added, special = self.automaton.added_pattern, self.automaton.added
+        parts = [[x for x in added.split(t) if x] if added is not None and added.search(t) else [t] for t in texts]
+        runs = [[[x] if x in special else x.split() for x in ps] for ps in parts]
+        self.learn({r for rs in runs for r_ in rs for r in r_})
+        get = self.__getitem__
+        return [b"".join([special[r[0]] if r and r[0] in special else b"".join(map(get, r)) for r in rs]) for rs in runs]
 
 
 @lru_cache(1)
 def _encoder(spec: str) -> Encoder:
-    return Encoder(Automaton(spec), lower_case_words)
+    return Encoder(Automaton(spec), WordSplit(spec))
 
 
 def _spec(spark, path: str):
@@ -149,26 +241,27 @@ def _spec(spark, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def bpe_encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def bpe_encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids", with_text: bool = True) -> DataFrame:
     """``docs`` with the token ids of each text (array<int>) in ``ids_col``, which replaces a column of that name.
 
-    A null or empty text, or one of white space, has no ids. ``tokenizer`` is the path of a word-level vocabulary file
+    ``with_text`` False leaves the text out, so it doesn't travel back from the workers. A null or empty text, or one of white space, has no ids. ``tokenizer`` is the path of a word-level vocabulary file
     (lower case, word ends).
     """
     spec = _spec(docs.sparkSession, tokenizer)
     docs = docs.drop(ids_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
     at = docs.columns.index(text_col)
+    kept = [i for i in range(len(docs.columns)) if with_text or i != at]
+    schema = T.StructType([*[docs.schema.fields[i] for i in kept], T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(spec.value)
         for whole in batches:
             for k in range(0, whole.num_rows, 500):
                 b = whole.slice(k, 500)
-                got = [encoder.encode(x or "") for x in b.column(at).to_pylist()]
+                got = encoder.encode([x or b"" for x in b.column(at).cast(pa.binary()).to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in got])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(got), np.int32)))
-                yield pa.RecordBatch.from_arrays([*b.columns, ids], [*b.schema.names, ids_col])
+                yield pa.RecordBatch.from_arrays([*[b.column(i) for i in kept], ids], schema.names)
 
     return docs.mapInArrow(run, schema)
 

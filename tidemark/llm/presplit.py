@@ -3,32 +3,44 @@
 from __future__ import annotations
 
 import re
-import unicodedata
 
 import numpy as np
 import pyarrow as pa
-import regex
 
 #: Text of these characters alone is split by the standard library, which is faster; there both agree.
 _PLAIN = re.compile("[^\t\n\x0b\x0c\r\x20-\x7eÀ-ÖØ-öø-ɏ]")
 
-# The patterns of the two published vocabularies.
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
-_WORD_PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
-
-_word, _word_plain = regex.compile(WORD_PATTERN), re.compile(_WORD_PLAIN)
+# Fixed value: the pattern of the published lower-case vocabulary, for plain text; a line end stands alone.
+_WORD_PLAIN = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
 #: Kinds of the bytes of plain text; those above 127 are of letters.
 _SIGN, _WHITE, _DIGIT, _LETTER, _QUOTE = range(5)
 _KIND = np.array([_LETTER if b > 127 or chr(b).isalpha() else _DIGIT if chr(b).isdigit() else _WHITE if b in (9, 10, 11, 12, 13, 32) else _QUOTE if b == 39 else _SIGN for b in range(256)], np.uint8)
 
 
-def lower_case_words(text: str) -> list[str]:
-    """The words of a text, composed (NFC), in lower case character by character, white space dropped."""
-    text = unicodedata.normalize("NFC", text)
-    if _PLAIN.search(text):
-        return _word.findall(text.replace("Σ", "σ").lower())
-    return _word_plain.findall(text.lower())
+class WordSplit:
+    """The words of each run of text, in bytes.
+
+    Plain text is lowered and split by the standard library, all of it at once; all other text by the
+    vocabulary file's own normaliser and pre-tokenizer, since every library knows another version of Unicode.
+    """
+
+    def __init__(self, spec: str) -> None:
+        from tokenizers import Tokenizer
+
+        file = Tokenizer.from_str(spec)
+        self.normal, self.pre = file.normalizer.normalize_str, file.pre_tokenizer.pre_tokenize_str
+        self.bytes_of = {c: b for b, c in enumerate(byte_letters())}
+
+    def __call__(self, runs: list[bytes]) -> list[list[bytes]]:
+        text = [r.decode() for r in runs]
+        plain = [is_plain(x) for x in text]
+        # Runs hold no line ends, so these tell them apart.
+        found = iter(_WORD_PLAIN.findall("".join([x + "\n" for x, p in zip(text, plain, strict=True) if p]).lower()))
+        return [[w.encode() for w in iter(found.__next__, "\n")] if p else self._other(x) for x, p in zip(text, plain, strict=True)]
+
+    def _other(self, text: str) -> list[bytes]:
+        return [bytes([self.bytes_of[c] for c in w]) for w, _ in self.pre(self.normal(text))]
 
 
 def is_plain(text: str) -> bool:

@@ -46,8 +46,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _tokenizer("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe_encode(docs, path).drop("text")
-    return digests(bpe_decode(ids, path))
+    return digests(bpe_decode(bpe_encode(docs, path, with_text=False), path))
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
