@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import remove
 from .presplit import byte_level_pieces, is_plain
 
 #: For every control byte the lengths of its four codes.
@@ -120,10 +121,11 @@ def _words(spec: str) -> Words:
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, block_ids: int = 1 << 18, files: int | None = None) -> None:
-    """Encode every text, append ``end_id`` and write the ids in ascending order of the document id.
+    """Encode every text, append ``end_id`` and write the ids in ascending order of the document id, a whole number.
 
     A null text is empty and leaves the end id alone. Null ids come first; rows that repeat an id are
-    ordered by their tokens. An empty table leaves an empty folder with a schema.
+    ordered by a hash of their tokens, so that an id with many rows is spread over tasks; equal rows are
+    interchangeable. An empty table leaves an empty folder with a schema.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
@@ -141,8 +143,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, id_col: str =
                 yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([x.astype("<u4" if wide else "<u2").tobytes() for x in got], pa.binary()), pa.array([wide] * len(got), pa.bool_())], ["id", "ids", "wide"])
 
     staged = f"{path}/staged"
-    rows.mapInArrow(encode, "id bigint, ids binary, wide boolean").write.option("compression", "zstd").parquet(staged)
-    tokens = spark.read.schema("id bigint, ids binary, wide boolean").parquet(staged)
+    # The number only keeps equal rows apart where they are dealt out by ranges.
+    coded = rows.mapInArrow(encode, "id bigint, ids binary, wide boolean").withColumn("row", F.monotonically_increasing_id())
+    coded.write.option("compression", "zstd").parquet(staged)
+    tokens = spark.read.schema("id bigint, ids binary, wide boolean, row bigint").parquet(staged)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
@@ -186,8 +190,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, id_col: str =
             yield out()
 
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = tokens.repartitionByRange(n, "id").sortWithinPartitions("id", "ids")
+    order = ["id", F.xxhash64("ids"), "row"]
+    placed = tokens.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("row")
     placed.mapInArrow(blocks, "file int, block int, offset bigint, doc_ids array<bigint>, lens array<bigint>, control binary, data binary").write.parquet(f"{path}/blocks")
+    remove(spark, staged)
 
 
 def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id", with_ids: bool = True) -> DataFrame:
