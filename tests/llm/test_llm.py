@@ -156,10 +156,26 @@ def test_bpe_equals_library(spark, tables):
 
 def test_automaton_equals_library_on_random_words():
     t, a, pick = _tokenizer(WORD), bpe.Automaton(open(WORD).read()), random.Random(3)
-    letters = bpe.byte_letters()
-    for _ in range(3000):
-        word = "".join(pick.choice("aaetionshrlnbéß") for _ in range(pick.randrange(1, 24)))
-        assert a.word("".join(letters[b] for b in word.encode())) == t.encode(word, add_special_tokens=False).ids
+    words = ["".join(pick.choice("aaetionshrlnbéß") for _ in range(pick.randrange(1, 24))) for _ in range(3000)]
+    want = [t.encode(w, add_special_tokens=False).ids for w in words]
+    assert [a.word(w.encode()) for w in words] == want
+    assert [x.tolist() for x in a.words([w.encode() for w in words])] == want
+    assert a.words([]) == []
+
+
+def test_every_code_point_equals_library():
+    """Python, its regular expressions and the library know different versions of Unicode."""
+    with open(WORD, encoding="utf-8") as f:
+        encoder = bpe._encoder(f.read())
+    t, pick = _tokenizer(WORD), random.Random(1)
+    texts = [f"a{chr(c)}b" for c in range(1, 0x20000) if not 0xD800 <= c < 0xE000]
+    kinds = [lambda: pick.randrange(1, 128), lambda: pick.randrange(97, 123), lambda: pick.randrange(1, 0x3000), lambda: pick.randrange(0xE000, 0x20000), lambda: pick.choice((32, 10, 0x301, 0x308))]
+    texts += ["".join(chr(pick.choice(kinds)()) for _ in range(pick.randrange(30))) for _ in range(6000)] + ["", "x<|endoftext|>y <|startoftext|>", "q" * 70 + " q"]
+    encoder.most, before = 5000, encoder.most  # forgotten many times
+    for k in range(0, len(texts), 4000):
+        got = encoder.encode([x.encode() for x in texts[k : k + 4000]])
+        assert [np.frombuffer(g, np.int32).tolist() for g in got] == [e.ids for e in t.encode_batch(texts[k : k + 4000], add_special_tokens=False)]
+    encoder.most = before
 
 
 def test_token_files_equal_library(spark, tables, tmp_path):
@@ -292,6 +308,7 @@ def test_words_of_slices():
     text, starts, ends, offsets = words(texts.slice(20))
     assert [text[a:b].tobytes().decode() for a, b in zip(starts[:3], ends, strict=False)] == ["Ä20", "b", "c"] and offsets[-1] == len(starts) == 4 * 30
     assert [len(s) for s in shingle_sets(texts.slice(49), 4)] == [1, 0, 0]
+    assert [len(s) for s in shingle_sets(texts.slice(49), 9)] == [1, 0, 0]  # fewer words in the batch than in a shingle
 
 
 def test_words_and_shingles_equal_regular_expression():
