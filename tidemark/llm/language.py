@@ -90,7 +90,9 @@ def infer(doc: np.ndarray, gram: np.ndarray, n: np.ndarray, p: np.ndarray, docs:
 
 
 def language(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", smooth: float = 0.5) -> DataFrame:
-    """One row per document: id, lang_pred, score (the proportion of that language).
+    """One row per document: id, lang_pred, score (the proportion of that language). Ids may be of any type.
+
+    The driver gathers, and each task holds, ``BUCKETS`` numbers for every language: 0.5 MB each.
 
     Learns from the texts and non-null languages of the rows that ``train`` names. ``und`` with score 0 if the text is null
     or has no letter, or if nothing could be learned. Repeated ids are separate rows; other

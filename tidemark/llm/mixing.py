@@ -23,7 +23,9 @@ def word_count(text: Column) -> Column:
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """(source, source_size, target) from (source, source_size): one row per source.
+    """(source, source_size, target) from (source, source_size): one row per source, all in one task.
+
+    So sources are to be such that a task can sort one small row for each: some ten million, say web domains, but not URLs.
 
     Sources take the weights in turn by code point, null last. A target stops at ``most`` times its
     source's size; the excess goes to the others by weight. The level is found in
