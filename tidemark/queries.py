@@ -158,6 +158,14 @@ def epoch_millis(spark, sf):
     return _t(spark, sf, "events").select("event_id", fn.epoch_millis(F.col("ts"), "timestamp_ntz").alias("ms"))
 
 
+@_query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN epoch_us(ts) // 1000 WHEN event_id % 3 = 1 THEN user_id END AS ms FROM events")
+def epoch_millis_text(spark, sf):
+    """Of text: a time, a number, and what is neither."""
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    text = F.when(F.col("event_id") % 3 == 0, iso).when(F.col("event_id") % 3 == 1, F.concat(F.col("user_id").cast("string"), F.lit(".75"))).otherwise(F.col("event_type"))
+    return _t(spark, sf, "events").select("event_id", fn.epoch_millis(text).alias("ms"))
+
+
 # --- documents -------------------------------------------------------------------------------
 
 
