@@ -3,7 +3,8 @@
 A turn reads ``### role: text</turn>``. Its parts are encoded separately; the marks are reserved
 ids, spliced in between, which no text can produce: in texts the special strings of the tokenizer
 are ordinary text, and control strings of the template are escaped by a backslash
-(as is the backslash), so that the decoded output also reads back as text.
+(as is the backslash), so that the decoded output also reads back as text. Of every ``###`` the third
+sign is escaped, so no three signs that follow each other are left bare, however long their run.
 
 Rows are sorted by conversation and turn inside each partition and streamed: a conversation
 of any length leaves as parts of a bounded number of tokens. The loss mask is the prefix
@@ -29,7 +30,7 @@ _NAME_CONTROL = re.compile(r"\\|###|</turn>|:")
 
 
 def escape(text: str, name: bool = False) -> str:
-    return (_NAME_CONTROL if name else _CONTROL).sub(lambda m: "\\" + m[0], text)
+    return (_NAME_CONTROL if name else _CONTROL).sub(lambda m: "##\\#" if m[0] == "###" else "\\" + m[0], text)
 
 
 def unescape(text: str) -> str:
