@@ -151,8 +151,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, id_col: str =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            for ids, wide in zip(b.column("ids").to_pylist(), b.column("wide").to_pylist(), strict=True):
-                c = np.bincount(np.frombuffer(ids, "<u4" if wide else "<u2"), minlength=len(total))
+            rows = list(zip(b.column("ids").to_pylist(), b.column("wide").to_pylist(), strict=True))
+            for wide, kind in ((False, "<u2"), (True, "<u4")):
+                c = np.bincount(np.frombuffer(b"".join([x for x, w in rows if w == wide]), kind), minlength=len(total))
                 c[: len(total)] += total
                 total = c
         used = np.flatnonzero(total)
