@@ -35,6 +35,15 @@ from .presplit import WordSplit, byte_letters
 _FREE = 1 << 60
 
 
+def _labels(file: dict) -> list[str]:
+    """The label of every id of a vocabulary file; empty where there is none."""
+    named = {**file["model"]["vocab"], **{a["content"]: a["id"] for a in file.get("added_tokens", [])}}
+    labels = [""] * (max(named.values()) + 1)
+    for label, i in named.items():
+        labels[i] = label
+    return labels
+
+
 class Automaton:
     """The compiled merges of a vocabulary file."""
 
@@ -45,9 +54,7 @@ class Automaton:
         self.suffix: str = model.get("end_of_word_suffix") or ""
         added = {a["content"]: a["id"] for a in file.get("added_tokens", [])}
         size = max([*vocab.values(), *added.values()]) + 1
-        self.labels = [""] * size
-        for label, i in [*vocab.items(), *added.items()]:
-            self.labels[i] = label
+        self.labels = _labels(file)
         self.added = {k.encode(): np.int32(i).tobytes() for k, i in added.items()}
         self.added_pattern = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + b")") if added else None
         self.size = size
@@ -235,6 +242,12 @@ def _encoder(spec: str) -> Encoder:
     return Encoder(Automaton(spec), WordSplit(spec))
 
 
+@lru_cache(1)
+def _arcs(spec: str) -> np.ndarray:
+    """The labels to be emitted, by id; decoding needs nothing else of the automaton."""
+    return np.array(_labels(json.loads(spec)), object)
+
+
 def _spec(spark, path: str):
     """The vocabulary file, read by the driver and sent to the executors: its size does not depend on the data."""
     with open(path, encoding="utf-8") as f:
@@ -274,7 +287,7 @@ def bpe_decode(tokens: DataFrame, tokenizer: str, ids_col: str = "ids", text_col
     at = tokens.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = np.array(_encoder(spec.value).automaton.labels, object)
+        labels = _arcs(spec.value)
         for whole in batches:
             for k in range(0, whole.num_rows, 500):
                 b = whole.slice(k, 500)
