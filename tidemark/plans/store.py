@@ -137,8 +137,9 @@ class Target:
             schema = T.StructType([*[f for f in old.fields if f.name not in _META.names], *new, *_META.fields])
         changes = evolve(checked(changes, self.keys), schema)
         if state["buckets"] is None:
-            rows_there = changes.count()
-            state["buckets"] = self.buckets or (max(16, -(-rows_there // self.bucket_rows)) if rows_there else None)
+            state["buckets"] = self.buckets
+        if state["buckets"] is None and (rows_there := changes.count()):
+            state["buckets"] = max(16, -(-rows_there // self.bucket_rows))
         n = state["buckets"]
         # At most one value for each bucket; only the key is read. A first batch without rows sets no number yet.
         touched = [r[0] for r in changes.select(self._bucket(n).alias("b")).distinct().collect()] if n else []
