@@ -13,10 +13,13 @@ from .chat import format_conversations, read_back
 from .common import crc_mod, shared_dir, table
 from .embedding_dedup import embedding_near_dedup
 from .exact_dedup import exact_dedup
+from .html_text import extract_main_text
 from .language import language
+from .lexical import lexical_search
 from .minhash_dedup import near_dedup
 from .mixing import mix
 from .quality import quality
+from .spelling import spelling_variants
 from .token_files import read_token_files, write_token_files
 from .toxicity import toxicity
 
@@ -80,6 +83,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), least_chars=7, least_count=2, times=10, slips=31)
+
+
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,7 +102,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_embedding_dedup, op2_chat_format, op3_exact_dedup, op4_bpe, op5_token_files, op6_minhash_dedup, op7_toxicity, op8_quality, op9_mixing, op10_language, pipeline]
+    own = [op1_embedding_dedup, op2_chat_format, op3_exact_dedup, op4_bpe, op5_token_files, op6_minhash_dedup, op7_toxicity, op8_quality, op9_mixing, op10_language, op11_lexical_search, op12_spelling, op13_html_text, pipeline]
     return {f.__name__: f for f in own}
 
 
@@ -147,7 +162,29 @@ r AS (SELECT t.doc_id, t.size, g.source_size, g.target, g.o, CASE WHEN g.source_
 SELECT doc_id, size, source_size, target, CAST(least(floor(rate * i + o) - floor(rate * (i - 1) + o), 3) AS BIGINT) * size AS taken FROM r
 """
 
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+q AS (SELECT item_id, term, count(*) AS reps FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(len(ts)) AS BIGINT) AS ll FROM d WHERE len(ts) > 0),
+p AS (SELECT r, doc_id, term, count(*) AS tf, any_value(n) AS n FROM (SELECT r, doc_id, CAST(len(ts) AS BIGINT) AS n, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY r, doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, s GROUP BY term),
+t AS (SELECT q.item_id, p.r, p.doc_id, CAST(sum(q.reps * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (25 + (75 * p.n * s.nn) // s.ll)))) AS BIGINT) AS score
+  FROM q JOIN p ON q.term = p.term JOIN w ON w.term = q.term, s GROUP BY q.item_id, p.r, p.doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM t WHERE score > 0) WHERE rank <= 10
+"""
+
+#: The pages of the given tables mark their article plainly, so patterns find it as well.
+_OP13 = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') AS x FROM pages),
+b AS (SELECT page_id, url, regexp_replace(regexp_replace(x, '</?(p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS x FROM a),
+c AS (SELECT page_id, url, replace(replace(regexp_replace(regexp_replace(regexp_replace(x, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&#x27;', ''''), '&#39;', '''') AS x FROM b)
+SELECT page_id, url, text, length(text) AS n_chars FROM (SELECT page_id, url, trim(regexp_replace(regexp_replace(x, '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM c)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators that it can express; the others are tested against brute force, the library or held-out rows."""
-    return {"op1_embedding_dedup": _OP1, "op2_chat_format": _OP2, "op3_exact_dedup": _OP3, "op6_minhash_dedup": _OP6, "op9_mixing": _OP9}
+    return {"op1_embedding_dedup": _OP1, "op2_chat_format": _OP2, "op3_exact_dedup": _OP3, "op6_minhash_dedup": _OP6, "op9_mixing": _OP9, "op11_lexical_search": _OP11, "op13_html_text": _OP13}

@@ -26,10 +26,10 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(texts: pa.Array, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The bytes of all texts with A-Z in lower case, where each word starts and ends in them, and where each text's words start.
 
-    A word is a run of characters outside ``[\\x20\\x09-\\x0D]`` within one text.
+    A word is a run of characters outside ``[\\x20\\x09-\\x0D]`` within one text, or outside the bytes that ``outside`` marks.
     """
     texts = pc.fill_null(texts, "")
     if not len(texts):
@@ -38,7 +38,7 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     at = np.frombuffer(at, np.int64 if pa.types.is_large_string(texts.type) else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     text = _LOWER[np.frombuffer(data, np.uint8)[at[0] : at[-1]]] if data else np.zeros(0, np.uint8)
     at = at - at[0]
-    inside = ~_SPACE[text]
+    inside = ~outside[text]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -49,9 +49,9 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return text, starts, np.flatnonzero(last) + 1, np.searchsorted(starts, at)
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of every word, and where each text's words start."""
-    text, starts, ends, offsets = words(texts)
+    text, starts, ends, offsets = words(texts, outside)
     size = ends - starts
     h = mixed(size.astype(np.uint64) * _STEP)
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
