@@ -108,6 +108,7 @@ def test_any_split_and_replay_gives_one_target(spark, tmp_path, seed):
         assert not target.apply(part, f"b{i}")
     target.apply(changes.where("_seq < 40"), "again")
     assert got(target.read().select("k", "v")) == want
+    target.compact()
     assert target.vacuum() >= 1
     assert got(target.read().select("k", "v")) == want
 

@@ -23,13 +23,12 @@ def emit(df: DataFrame, op: str | Column, batch_id: str, ts: Column | None = Non
 
 
 def checked(changes: DataFrame, keys: list[str]) -> DataFrame:
-    """``changes``; a row with an unknown operation or a null key fails the job."""
-    known = F.col("_op").isin(*OPS)
-    keyed = F.lit(True)
-    for k in keys:
-        keyed = keyed & F.col(f"`{k}`").isNotNull()
-    fine = F.coalesce(known & keyed, F.lit(False))
-    return changes.withColumn("_op", F.when(fine, F.col("_op")).otherwise(F.raise_error(F.lit("a change has an unknown operation or a null key")).cast("string")))
+    """``changes``; a row with an unknown operation or a null key fails the job, with a message that names the columns."""
+    null = [F.when(F.col(f"`{k}`").isNull(), F.lit(k)) for k in keys]
+    wrong = F.when(~F.coalesce(F.col("_op").isin(*OPS), F.lit(False)), F.concat(F.lit("unknown operation of a change: "), F.coalesce("_op", F.lit("null"))))
+    if keys:
+        wrong = wrong.when(F.coalesce(*null).isNotNull(), F.concat(F.lit("a change has a null key; null are: "), F.concat_ws(", ", *null)))
+    return changes.withColumn("_op", F.when(wrong.isNull(), F.col("_op")).otherwise(F.raise_error(wrong).cast("string")))
 
 
 def latest(changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -1,13 +1,13 @@
-"""A keyed target in Parquet: hash buckets and one manifest per commit.
+"""A keyed target as a log of changes, resolved when it is read.
 
-A row lies in bucket ``pmod(xxhash64(key), buckets)``. The number of buckets and the key are part of the target: they are set
-by its first commit and read from the manifest ever after. A merge reads and rewrites only the buckets its
-changes touch. The manifest of a commit is written aside and renamed to the next version's name, which fails if
-that exists; so readers see the old version or the new one, whole. It names the
-batches it holds, so a batch delivered twice is applied once.
+A batch is appended as it comes, one Parquet folder that is written once and without a shuffle; a row in the table of commits makes it
+count. Reading takes the latest change of each key. ``compact`` folds the log into a base with one row for each key; it runs by
+itself when the log has grown to a share of the base, so the work on a row is bounded however many batches come. Where the log is small
+beside the base the planner broadcasts it, and the base is read without a shuffle.
 
-Rows carry ``_op``, ``_ts``, ``_seq`` of their last change; deleted keys stay as such rows, hidden by the
-reader, so that an older change that comes late cannot revive them.
+Rows carry ``_op``, ``_ts``, ``_seq`` of their change; deleted keys stay as such rows, hidden by the reader, so that an older
+change that comes late cannot revive them. Whoever has a table format with merges of its own gives ``plans.run`` an object with
+the methods ``manifest``, ``columns``, ``read``, ``apply``, ``alter``, ``forget`` and ``drop`` in place of this one.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,200 +25,212 @@ from ..operators.changes import checked, latest
 from ..operators.schema import evolve
 
 ORDER = ["_ts", "_seq"]
-_META = T.StructType([T.StructField("_op", T.StringType()), T.StructField("_ts", T.TimestampType()), T.StructField("_seq", T.LongType())])
+_META = T.StructType([T.StructField("_op", T.StringType()), T.StructField("_ts", T.TimestampType()), T.StructField("_seq", T.LongType()), T.StructField("_commit", T.LongType())])
+_COMMITS = "version bigint, kind string, batch string, stream string, number bigint, folder string, rows bigint, high_ts timestamp, high_seq bigint, schema string, checkpoint string, carried string"
 
 
 class Target:
-    """A target at ``path`` on any Hadoop filesystem.
+    """A target at ``path`` on any Hadoop filesystem, for one writer at a time.
 
-    ``buckets``: their number when the target is new; by default one for each ``bucket_rows`` rows of its first batch, 16 at
-    least (``rebucket`` changes it later). ``remember``: of batches that are named, so many of the last are
-    known again; of streams every number up to the last is.
+    ``buckets``: how many files the base is written to, by key (unset: as the shuffle gives them). ``remember``: of batches that are named, so
+    many of the last are known again; of streams every number up to the last is. ``share``: the log is folded when it has more
+    rows than this share of the base and than ``least`` rows, or ``many`` batches.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int | None = None, remember: int = 1000, bucket_rows: int = 2_000_000) -> None:
-        self.spark, self.path, self.keys, self.buckets, self.remember, self.bucket_rows = spark, path.rstrip("/"), keys, buckets, remember, bucket_rows
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int | None = None, remember: int = 1000, share: float = 0.5, least: int = 1_000_000, many: int = 200) -> None:
+        self.spark, self.path, self.keys, self.buckets, self.remember, self.share, self.least, self.many = spark, path.rstrip("/"), keys, buckets, remember, share, least, many
         self._hadoop = spark._jvm.org.apache.hadoop.fs.Path
-        self._conf = spark._jsc.hadoopConfiguration()
-        self._fs = self._hadoop(self.path).getFileSystem(self._conf)
+        self._fs = self._hadoop(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    # --- manifests -------------------------------------------------------------------------------
+    # --- commits ---------------------------------------------------------------------------------
+
+    def _numbers(self) -> list[int]:
+        """The numbers of the commits, begun ones included."""
+        at = self._hadoop(f"{self.path}/commits")
+        return [int(s.getPath().getName()) for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
+
+    def _commits(self) -> DataFrame:
+        return self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits/*")
 
     def manifest(self) -> dict[str, Any]:
-        """The newest version; of a target that isn't there yet, an empty one."""
-        folder = self._hadoop(f"{self.path}/_manifests")
-        names = [s.getPath().getName() for s in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
-        versions = [int(x.split(".")[0]) for x in names if x.endswith(".json") and not x.startswith((".", "_"))]
-        if not versions:
-            return {"version": 0, "schema": None, "keys": self.keys, "buckets": None, "files": {}, "batches": [], "streams": {}, "checkpoint": {}, "dropped": []}
-        stream = self._fs.open(self._hadoop(f"{self.path}/_manifests/{max(versions):012d}.json"))
-        try:
-            state = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        """What the commits since the last base add up to; of a target that isn't there yet, nothing."""
+        numbers = self._numbers()
+        rows = sorted(self._commits().collect(), key=lambda r: r.version) if numbers else []
+        last = max((r.version for r in rows if r.kind == "base"), default=0)
+        state: dict[str, Any] = {"version": 0, "schema": None, "keys": self.keys, "base": None, "log": [], "files": [], "batches": [], "streams": {}, "checkpoint": {}, "high": None, "next": max(numbers, default=0) + 1}
+        for r in rows:
+            if r.version < last:
+                continue
+            carried = json.loads(r.carried) if r.carried else {}
+            if r.kind == "base":
+                state.update(base=r, checkpoint=carried["checkpoint"], batches=carried["batches"], streams=carried["streams"])
+            state["log"].append(r)
+            state["version"], state["schema"], state["keys"] = r.version, r.schema or state["schema"], carried.get("keys", state["keys"])
+            if r.stream:
+                state["streams"][r.stream] = max(r.number, state["streams"].get(r.stream, -1))
+            elif r.batch is not None:
+                state["batches"] = [*state["batches"], r.batch][-self.remember :]
+            for k, v in json.loads(r.checkpoint or "{}").items():
+                state["checkpoint"].pop(k, None)
+                if v is not None:
+                    state["checkpoint"][k] = v
+            if r.high_seq is not None:
+                state["high"] = max(state["high"] or (None, None), (r.high_ts, r.high_seq), key=lambda x: (x[0] is not None, x[0], x[1] is not None, x[1]))
+        state["files"] = [r.folder for r in state["log"] if r.folder]
         if [k.lower() for k in state["keys"]] != [k.lower() for k in self.keys]:
             raise ValueError(f"the target's key is {state['keys']}, not {self.keys}")
         return state
 
-    def _commit(self, state: dict[str, Any]) -> None:
-        """Fails, and leaves the target as it was, if another writer has committed this version."""
-        state["version"] += 1
-        final = self._hadoop(f"{self.path}/_manifests/{state['version']:012d}.json")
-        aside = self._hadoop(f"{self.path}/_manifests/_{uuid.uuid4().hex}.tmp")
-        out = self._fs.create(aside, False)
-        try:
-            out.write(bytearray(json.dumps(state).encode()))
-        finally:
-            out.close()
-        jvm = self.spark._jvm
-        plain = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)  # no overwriting
-        try:
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._conf).rename(aside, final, plain)
-        except Exception:
-            self._fs.delete(aside, False)
-            raise
+    def _commit(self, state: dict[str, Any], kind: str = "state", **values: Any) -> None:
+        """One row in a folder of its number, whose file appears whole or not at all. Fails if another writer has taken the number."""
+        state["version"], state["next"] = state["next"], state["next"] + 1
+        row = {"version": state["version"], "kind": kind, "schema": state["schema"]} | values
+        row["carried"] = json.dumps({"keys": self.keys} | row.get("carried", {}))
+        schema = T._parse_datatype_string(_COMMITS)
+        one = self.spark.range(0, 1, 1, 1).select(*[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
+        one.write.parquet(f"{self.path}/commits/{state['version']:012d}")
 
     # --- reading ---------------------------------------------------------------------------------
 
-    def _schema(self, state: dict[str, Any]) -> T.StructType:
-        return T.StructType.fromJson(json.loads(state["schema"]))
-
-    def _stored(self, state: dict[str, Any], buckets: list[int] | None = None) -> DataFrame | None:
-        paths = sorted({p for b, p in state["files"].items() if buckets is None or int(b) in buckets})
-        return self.spark.read.schema(self._schema(state)).parquet(*paths) if paths else None
+    def _fields(self, state: dict[str, Any]) -> list[T.StructField]:
+        return T.StructType.fromJson(json.loads(state["schema"])).fields if state["schema"] else []
 
     def columns(self) -> list[T.StructField]:
         """The fields of the target's rows; none before its first commit."""
-        state = self.manifest()
-        return [f for f in self._schema(state).fields if f.name not in _META.names] if state["schema"] else []
+        return self._fields(self.manifest())
+
+    def _rows(self, state: dict[str, Any], rows: list[Any]) -> DataFrame | None:
+        """The rows of some folders in the present columns.
+
+        A folder is read by the columns of its time and taken through those that came after, so a dropped column's values don't come
+        back with its name.
+        """
+        eras: dict[tuple[str, ...], list[str]] = {}
+        for r in rows:
+            later = [r.schema]
+            for x in state["log"]:
+                if x.version > r.version and x.schema and x.schema != later[-1]:
+                    later.append(x.schema)
+            eras.setdefault(tuple(later), []).append(r.folder)
+        out = None
+        for schemas, folders in eras.items():
+            full = [T.StructType([*T.StructType.fromJson(json.loads(s)).fields, *_META.fields]) for s in schemas]
+            part = self.spark.read.schema(full[0]).parquet(*folders)
+            for s in full[1:]:
+                part = evolve(part, s)
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    def _resolved(self, state: dict[str, Any]) -> DataFrame:
+        """The latest change of each key, deletes included. Of changes equal in order the one delivered last counts."""
+        base = self._rows(state, [state["base"]]) if state["base"] and state["base"].folder else None
+        log = self._rows(state, [r for r in state["log"] if r.kind == "data" and r.folder])
+        if log is None:
+            return self.spark.createDataFrame([], T.StructType([*self._fields(state), *_META.fields])) if base is None else base
+        last = latest(log, self.keys, [*ORDER, "_commit"])
+        if base is None:
+            return last
+        mine, new = [F.col(f"b.`{k}`") == F.col(f"n.`{k}`") for k in self.keys], F.struct(*[f"n.{c}" for c in ORDER])
+        # A base row that is newer than the change that came for its key; they are few, and tell which changes to leave out.
+        newer = base.alias("b").join(last.select(*self.keys, *ORDER).alias("n"), [*mine, F.struct(*[f"b.{c}" for c in ORDER]) > new]).select(*[F.col(f"b.`{k}`").alias(k) for k in self.keys])
+        last = last.join(newer, self.keys, "left_anti")
+        return base.join(last.select(*self.keys), self.keys, "left_anti").select(*last.columns).unionByName(last)
 
     def read(self, state: dict[str, Any] | None = None) -> DataFrame:
         """The rows that are not deleted; a target without a commit has no columns."""
         state = state or self.manifest()
         if not state["schema"]:
             return self.spark.createDataFrame([], T.StructType([]))
-        stored = self._stored(state)
-        rows = self.spark.createDataFrame([], self._schema(state)) if stored is None else stored
-        return rows.where("_op <> 'D'").drop(*_META.names)
+        return self._resolved(state).where("_op <> 'D'").select(*[F.col(f"`{f.name}`") for f in self._fields(state)])
 
     # --- writing ---------------------------------------------------------------------------------
 
-    def _bucket(self, n: int) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.keys]), F.lit(n)).cast("int")
-
-    def _write(self, rows: DataFrame) -> str:
-        """Write rows that have ``_bucket`` and lie together by it: a file for each bucket."""
-        folder = f"{self.path}/data/{uuid.uuid4().hex}"
-        rows.write.partitionBy("_bucket").parquet(folder)
-        return folder
-
-    def _gathered(self, rows: DataFrame, touched: int) -> DataFrame:
-        # More partitions than buckets, so that few of them hold two.
-        return rows.repartition(min(3 * touched, 20_000), "_bucket")
-
-    def apply(self, changes: DataFrame, batch_id: str | int, checkpoint: dict[str, Any] | Callable[[], dict[str, Any]] | None = None, stream: str | None = None) -> bool:
-        """Merge change records (``_op``, ``_ts``, ``_seq`` and columns) and commit; False if the batch was committed before.
+    def apply(self, changes: DataFrame, batch_id: str | int, checkpoint: dict[str, Any] | Callable[[], dict[str, Any]] | None = None, stream: str | None = None, empty: bool = True, fields: list[T.StructField] | None = None) -> bool:
+        """Append change records (``_op``, ``_ts``, ``_seq`` and columns) and commit; False if the batch was committed before.
 
-        ``changes`` is read twice, for the buckets and for the rows, so it must be the same both times: files, not
-        a live source. Its rows are folded to one for each key first; then they and the stored rows of their buckets
-        meet in one shuffle by bucket, which is that of the written files as well. Of changes
-        equal in order the newly delivered one wins. ``stream``: ``batch_id`` is a number in it, and one up to the last is known.
+        ``changes`` is run once. ``checkpoint`` (called after the rows are written) and the rows are one commit; a null value takes an entry
+        out. ``stream``: ``batch_id`` is a number in it, and one up to the last is known. Without ``empty`` a batch without rows
+        leaves no commit. ``fields``: the target's columns from now on (unset: the present ones and new ones of the batch); they
+        are committed once the rows are written. A row with a null key fails the batch.
         """
         state = self.manifest()
-        if (batch_id <= state["streams"].get(stream, -1)) if stream else (batch_id in state["batches"]):
+        if (int(batch_id) <= state["streams"].get(stream, -1)) if stream else (str(batch_id) in state["batches"]):
             return False
         data = [f for f in changes.schema.fields if f.name not in (*_META.names, "_batch")]
-        schema = T.StructType([*data, *_META.fields])
-        if state["schema"]:
-            old = self._schema(state)
-            have = {x.lower() for x in old.names}
-            new = [f for f in data if f.name.lower() not in have]
-            self._refuse_dropped(state, new)
-            schema = T.StructType([*[f for f in old.fields if f.name not in _META.names], *new, *_META.fields])
-        changes = evolve(checked(changes, self.keys), schema)
-        if state["buckets"] is None:
-            state["buckets"] = self.buckets
-        if state["buckets"] is None and (rows_there := changes.count()):
-            state["buckets"] = max(16, -(-rows_there // self.bucket_rows))
-        n = state["buckets"]
-        # At most one value for each bucket; only the key is read. A first batch without rows sets no number yet.
-        touched = [r[0] for r in changes.select(self._bucket(n).alias("b")).distinct().collect()] if n else []
-        if touched:
-            rows, stored = latest(changes, self.keys, ORDER).withColumn("_new", F.lit(1)), self._stored(state, touched)
-            if stored is not None:
-                rows = evolve(stored, schema).withColumn("_new", F.lit(0)).unionByName(rows)
-            rows = self._gathered(rows.withColumn("_bucket", self._bucket(n)), len(touched))
-            last = latest(rows, ["_bucket", *self.keys], [*ORDER, "_new"]).drop("_new")
-            folder = self._write(last)
-            state["files"] = state["files"] | {str(b): f"{folder}/_bucket={b}" for b in touched}
-        state["schema"] = schema.json()
-        if stream:
-            state["streams"] = state["streams"] | {stream: batch_id}
-        else:
-            state["batches"] = [*state["batches"], batch_id][-self.remember :]
-        state["checkpoint"] = state["checkpoint"] | ((checkpoint() if callable(checkpoint) else checkpoint) or {})
-        self._commit(state)
+        old = self._fields(state)
+        have = {f.name.lower() for f in old}
+        fields = [*old, *[f for f in data if f.name.lower() not in have]] if fields is None else fields
+        self._keyed(fields)
+        rows = evolve(checked(changes, self.keys).withColumn("_commit", F.lit(state["next"]).cast("long")), T.StructType([*fields, *_META.fields]))
+        seen, folder = Observation(f"commit-{uuid.uuid4().hex}"), f"{self.path}/data/{uuid.uuid4().hex}"
+        rows.observe(seen, F.count(F.lit(1)).alias("n"), F.max(F.struct(*ORDER)).alias("high")).write.parquet(folder)
+        n, high = seen.get["n"], seen.get["high"]
+        if not n:
+            self._fs.delete(self._hadoop(folder), True)
+        schema = T.StructType(fields).json()
+        if old and schema != state["schema"]:
+            state["schema"] = schema
+            self._commit(state, "schema")
+        if not n and not empty:
+            return True
+        state["schema"] = schema
+        named = {"stream": stream, "number": int(batch_id)} if stream else {"batch": str(batch_id)}
+        kept = (checkpoint() if callable(checkpoint) else checkpoint) or {}
+        self._commit(state, "data", folder=folder if n else None, rows=n, high_ts=high["_ts"] if n else None, high_seq=high["_seq"] if n else None, checkpoint=json.dumps(kept), **named)
+        log, base = [r.rows for r in state["log"] if r.kind == "data"], state["base"].rows if state["base"] else 0
+        if sum(log) + n > max(self.least, self.share * base) or len(log) >= self.many:
+            self.compact()
         return True
 
-    def _refuse_dropped(self, state: dict[str, Any], new: list[T.StructField]) -> None:
-        """A dropped column's values are still in old files; before a column of its name comes back they are written anew."""
-        if any(f.name.lower() in state["dropped"] for f in new):
-            self._rewrite(state, state["buckets"])
-
-    def _rewrite(self, state: dict[str, Any], buckets: int, schema: T.StructType | None = None) -> None:
-        """All rows in files of the present (or given) schema and number of buckets; changes ``state`` alone."""
-        stored = self._stored(state)
-        schema = schema or self._schema(state)
-        if stored is not None:
-            rows = self._gathered(evolve(stored, schema).withColumn("_bucket", self._bucket(buckets)), buckets)
-            folder = self._write(rows)
-            there = self._hadoop(folder)
-            state["files"] = {s.getPath().getName().split("=")[1]: f"{folder}/{s.getPath().getName()}" for s in self._fs.listStatus(there) if "=" in s.getPath().getName()}
-        state["schema"], state["buckets"], state["dropped"] = schema.json(), buckets, []
-
-    def rebucket(self, buckets: int) -> None:
-        """Deal all rows out to another number of buckets, in one commit."""
+    def _keyed(self, fields: list[T.StructField]) -> None:
+        if not {k.lower() for k in self.keys} <= {f.name.lower() for f in fields}:
+            raise ValueError("the key's columns must stay")
+
+    def compact(self) -> None:
+        """Fold the log into the base, in one commit; what the target says stays the same."""
         state = self.manifest()
-        if state["schema"]:
-            self._rewrite(state, buckets)
-            self._commit(state)
+        if not state["schema"]:
+            return
+        folder, seen = f"{self.path}/data/{uuid.uuid4().hex}", Observation(f"base-{uuid.uuid4().hex}")
+        rows = self._resolved(state)
+        rows = rows.repartition(self.buckets, *[F.col(f"`{k}`") for k in self.keys]) if self.buckets else rows
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(folder)
+        high = state["high"] or (None, None)
+        self._commit(state, "base", folder=folder, rows=seen.get["n"], high_ts=high[0], high_seq=high[1], carried={k: state[k] for k in ("checkpoint", "batches", "streams")})
+
+    def streamed(self, stream: str, after: int) -> int:
+        """The rows that a stream brought in commits after a version."""
+        rows = self._commits().where((F.col("stream") == stream) & (F.col("version") > after))
+        return rows.agg(F.sum("rows")).first()[0] or 0
 
     def alter(self, fields: list[T.StructField]) -> None:
-        """Give the target these columns in this order, in one commit.
-
-        Added, dropped and moved columns change the manifest alone; where a type changes or a dropped name comes back,
-        all rows are written anew. The key must stay. Before the first commit nothing happens.
-        """
+        """Give the target these columns in this order, in one commit; rows are not written anew. The key must stay. Before the first commit nothing happens."""
         state = self.manifest()
         if not state["schema"]:
             return
-        if not {k.lower() for k in self.keys} <= {f.name.lower() for f in fields}:
-            raise ValueError("the key's columns must stay")
-        schema, old = T.StructType([*fields, *_META.fields]), {f.name.lower(): f for f in self._schema(state).fields if f.name not in _META.names}
-        now = {f.name.lower(): f for f in fields}
-        if any(k in old and (old[k].dataType != f.dataType or old[k].name != f.name) for k, f in now.items()) or any(k in state["dropped"] for k in now.keys() - old.keys()):
-            self._rewrite(state, state["buckets"], schema)
-        else:
-            state["dropped"] = sorted({*state["dropped"], *(old.keys() - now.keys())})
-            state["schema"] = schema.json()
-        self._commit(state)
+        self._keyed(fields)
+        state["schema"] = T.StructType([*fields]).json()
+        self._commit(state, "schema")
 
     def forget(self, *names: str) -> None:
         """Take values out of the checkpoint (all, if none is named), so that the object is read from the start again."""
         state = self.manifest()
-        state["checkpoint"] = {k: v for k, v in state["checkpoint"].items() if names and k not in names}
-        self._commit(state)
+        self._commit(state, "state", checkpoint=json.dumps({k: None for k in state["checkpoint"] if not names or k in names}))
 
     def drop(self) -> None:
         """Delete the target with all its versions."""
         self._fs.delete(self._hadoop(self.path), True)
 
     def vacuum(self) -> int:
-        """Delete data folders that the current manifest does not name; only when no writer or reader of an older version runs."""
-        used = {p.split("/_bucket=")[0].rsplit("/", 1)[-1] for p in self.manifest()["files"].values()}
+        """Delete folders and commits that the present version doesn't need; only when no writer or reader of an older one runs. Returns the folders."""
+        state = self.manifest()
+        used = {p.rsplit("/", 1)[-1] for p in state["files"]}
         folder, gone = self._hadoop(f"{self.path}/data"), 0
         for s in self._fs.listStatus(folder) if self._fs.exists(folder) else []:
             if s.getPath().getName() not in used:
                 self._fs.delete(s.getPath(), True)
                 gone += 1
+        for number in self._numbers():
+            if state["base"] and number < state["base"].version:
+                self._fs.delete(self._hadoop(f"{self.path}/commits/{number:012d}"), True)
         return gone

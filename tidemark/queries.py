@@ -21,7 +21,7 @@ from .operators import increment, merge, reports, schema, specs, state
 from .plans import run as runs
 from .plans.store import Target
 from .sources import catalog
-from .streaming import apply_stream, change_stream
+from .streaming import LogSource, apply_stream, change_stream, finished
 
 _Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, _Query] = {}
@@ -639,6 +639,96 @@ def stream_since(spark, sf):
     return target.read().select("k", "seq")
 
 
+# --- deletes, logs, partitions and files in one run or several -----------------------------------
+
+_SHAPE = "_op string, _ts timestamp, _seq bigint, k bigint, seq bigint"
+
+
+@_query(_LATEST + " SELECT k, seq FROM l WHERE op <> 'D' AND (ts >= TIMESTAMP '2024-01-15' OR k % 3 <> 0)")
+def run_delete_after_stream(spark, sf):
+    """A target fed by a stream loses the keys that its source lost; those that later events bring are back."""
+    at, spec = _work(spark), runs.ObjectSpec("users", ["k"])
+    target = Target(spark, f"{at}/target", ["k"])
+    split = F.col("_ts") < F.lit(datetime.datetime(2024, 1, 15)).cast("timestamp_ntz").cast("timestamp")
+    for part in (split, ~split):
+        _events(spark, sf).where(part).write.mode("append").parquet(f"{at}/in")
+        apply_stream(change_stream(spark, f"{at}/in", _SHAPE), target, f"{at}/checkpoint").awaitTermination()
+        for source in (target.read().where("k % 3 <> 0"), target.read().where("false")):
+            if part is split:
+                runs.run(spark, [spec], lambda _, df=source: df, lambda _: target, f"{at}/log", runs.delete_sync_object)
+    return target.read().select("k", "seq")
+
+
+@_query(_LATEST + " SELECT k, seq FROM l WHERE op <> 'D'")
+def run_log_based(spark, sf):
+    """Objects read by their log: a snapshot with the log's position before it, then the log, in two runs of which the second has new events."""
+    at, events = _work(spark), _events(spark, sf)
+    split = F.col("_ts") < F.lit(datetime.datetime(2024, 1, 15)).cast("timestamp_ntz").cast("timestamp")
+    spec, targets = runs.ObjectSpec("users", ["k"], kind="log"), _target(spark, at, ["k"])
+    rows = log.latest(events.where(split), ["k"], ["_ts", "_seq"]).where("_op <> 'D'").select("k", "seq")
+    for part in (split, ~split):
+        events.where(part).write.mode("append").parquet(f"{at}/in")
+        position = lambda: sources.log_position(spark.read.schema(_SHAPE).parquet(f"{at}/in"), "_ts").first().log_ts
+        source = LogSource(rows, position, lambda since: change_stream(spark, f"{at}/in", _SHAPE, since=since))
+        runs.run(spark, [spec], lambda _, s=source: s, targets, f"{at}/log")
+    return targets(spec).read().select("k", "seq")
+
+
+@_query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('O', 'F')")
+def run_partitions(spark, sf):
+    """Two partitions with checkpoints of their own: the rows of the one that lags are read although the other is far ahead."""
+    at, orders = _work(spark), _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    spec, targets = runs.ObjectSpec("orders", ["o_orderkey"], incremental={"o_orderkey": -1}, conditions=["o_orderstatus = 'O'", "o_orderstatus = 'F'"]), _target(spark, at, ["o_orderkey"])
+    for source in (orders.where("o_orderstatus = 'O' OR o_orderkey < 2000"), orders, orders):
+        runs.run(spark, [spec], lambda _, df=source: df, targets, f"{at}/log")
+    return targets(spec).read()
+
+
+@_query("""SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name || chr(10) || '"' || p_brand || '", ' || p_size AS p_name FROM part""")
+def run_csv_same_time(spark, sf):
+    """Files whose values hold line breaks, quotes and separators; all files have one time, and half of them come later."""
+    at, part = _work(spark), _t(spark, sf, "part")
+    text = F.concat("p_name", F.lit('\n"'), "p_brand", F.lit('", '), F.col("p_size").cast("string"))
+    spec, targets = runs.ObjectSpec("part", ["p_partkey"], kind="csv", incremental={"_file_time": datetime.datetime(1970, 1, 1)}, files=2), _target(spark, at, ["p_partkey"])
+    for half in range(2):
+        part.where(F.col("p_partkey") % 2 == half).select("p_partkey", text.alias("p_name")).repartition(2, "p_partkey").write.mode("append").options(header=True, escape='"').csv(f"{at}/in")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{at}/in")
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        for s in fs.listStatus(folder):
+            fs.setTimes(s.getPath(), 1_700_000_000_000, -1)
+        found = sources.csv(spark, f"{at}/in", sources.csv_schema(spark, f"{at}/in"))
+        runs.run(spark, [spec], lambda _, df=found: df, targets, f"{at}/log")
+    return targets(spec).read()
+
+
+@_query("SELECT CAST(event_id AS VARCHAR) AS _id, event_type FROM events")
+def run_documents_exact(spark, sf):
+    """Documents with a whole-number key above 2**53, one apart from each other; the second read has those above the first's greatest."""
+    at, e = _work(spark), _t(spark, sf, "events").select("event_id", "event_type", (F.col("event_id") + (1 << 53)).alias("n"))
+    docs = sources.documents(e, "event_id", ["event_type", "n"])
+    spec, targets = runs.ObjectSpec("events", ["_id"], kind="documents", incremental={"n": 0}), _target(spark, at, ["_id"])
+    for rows in (docs.where("CAST(_id AS BIGINT) <= 5000"), docs.where("CAST(_id AS BIGINT) <= 5001"), docs):
+        runs.run(spark, [spec], lambda _, df=rows: df, targets, f"{at}/log")
+    return targets(spec).read().select("_id", F.get_json_object("document", "$.event_type").alias("event_type"))
+
+
+@_query("SELECT 'events' AS object, 'SNAPSHOT + LOG_BASED' AS read_type, 'SUCCESS' AS last_read_status, count(*) AS total_records FROM events")
+def stream_statistics(spark, sf):
+    """A stream that writes a row of the run log for each micro-batch, and the report over it."""
+    at = _work(spark)
+    _events(spark, sf).repartition(4, "_seq").write.parquet(f"{at}/in")
+    stream = change_stream(spark, f"{at}/in", _SHAPE, files=2)
+    finished(apply_stream(stream, Target(spark, f"{at}/target", ["k"]), f"{at}/checkpoint", name="events", log_path=f"{at}/log"))
+    return reports.statistics(spark.read.schema(runs.LOG_SCHEMA).parquet(f"{at}/log")).select("object", "read_type", "last_read_status", "total_records")
+
+
+@_query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey <= (SELECT l_orderkey FROM lineitem ORDER BY l_orderkey LIMIT 1 OFFSET (SELECT count(*) // 2 - 1 FROM lineitem))")
+def limited_half(spark, sf):
+    """A limit of half the table, ties of the last row included; no task sorts it."""
+    rows = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return increment.read(rows, {"l_orderkey": -1}, limit=rows.count() // 2)[0]
+
+
 # --- reports over a log of every kind of action ------------------------------------------------
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 from typing import Any
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +35,9 @@ def jdbc(spark: SparkSession, url: str, table: str, conditions: list[str] | None
 
 @dataclass(frozen=True)
 class CsvDialect:
+    """How files are written. ``multiline``: values in quotes may hold line breaks, so a file is read from its beginning by one task;
+    without it large files are split at line ends (``line_sep``). Empty lines are no records."""
+
     header: bool = True
     sep: str = ","
     quote: str = '"'
@@ -40,30 +45,33 @@ class CsvDialect:
     null: str = "null"
     trim: bool = True
     line_sep: str | None = None
+    multiline: bool = True
 
     def options(self) -> dict[str, Any]:
-        out = {"header": self.header, "sep": self.sep, "quote": self.quote, "escape": self.escape, "nullValue": self.null, "ignoreLeadingWhiteSpace": self.trim, "ignoreTrailingWhiteSpace": self.trim, "mode": "PERMISSIVE", "enforceSchema": True, "recursiveFileLookup": True}
+        out = {"header": self.header, "sep": self.sep, "quote": self.quote, "escape": self.escape, "nullValue": self.null, "ignoreLeadingWhiteSpace": self.trim, "ignoreTrailingWhiteSpace": self.trim, "mode": "PERMISSIVE", "enforceSchema": True, "recursiveFileLookup": True, "multiLine": self.multiline}
         return out | ({"lineSep": self.line_sep} if self.line_sep else {})
 
 
+def files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, size, modified) of all files below ``path`` that aren't empty, from the listing alone: nothing is opened."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return found.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_modification_time").alias("modified"))
+
+
 def csv_schema(spark: SparkSession, path: str, dialect: CsvDialect = CsvDialect()) -> T.StructType:
-    """Text columns named by the first line of the first file by path, or ``col1..colN`` without a header.
+    """Text columns named by the first record of the first file by path, or ``col1..colN`` without a header.
 
-    A blank name becomes ``col`` and its place, so the names after it stay with their columns. Without any line
-    the schema is empty. Only the first lines travel: one for each file.
+    A blank name becomes ``col`` and its place, so the names after it stay with their columns. A file without a record is passed over; without any
+    the schema is empty. Files are told by the listing, and only the first one with a record is opened.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("row"))
-    # Blocks of a file keep their order, and rows theirs within a block.
-    line = lines.where("trim(value) <> ''").agg(F.min_by("value", F.struct("file", "at", "row")).alias("value"))
-    if line.first().value is None:
-        return T.StructType()
-    n = line.select(F.size(F.split("value", "\\Q" + dialect.sep + "\\E"))).first()[0]
-    options = {"sep": dialect.sep, "quote": dialect.quote, "escape": dialect.escape, "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
-    # A separator inside quotes counts too many; the sentinel behind the line tells where it ends.
-    fields, end = ", ".join(f"c{i} string" for i in range(n + 1)), "\ue000"
-    found = list(line.select(F.from_csv(F.concat("value", F.lit(dialect.sep + end)), F.lit(fields), options).alias("x")).select("x.*").first())
-    names = found[: found.index(end)]
-    return T.StructType([T.StructField(x.strip() if dialect.header and x and x.strip() else f"col{i}", T.StringType()) for i, x in enumerate(names, 1)])
+    options = dialect.options() | {"header": False, "nullValue": "\ue000", "ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
+    there, last = files(spark, path), ""
+    while (first := there.where(F.col("path") > last).agg(F.min("path")).first()[0]) is not None:
+        found = spark.read.options(**options).csv(unquote(first)).limit(1).collect()
+        if found and not (len(found[0]) == 1 and not (found[0][0] or "").strip()):
+            return T.StructType([T.StructField(x.strip() if dialect.header and x and x.strip() else f"col{i}", T.StringType()) for i, x in enumerate(found[0], 1)])
+        last = first
+    return T.StructType()
 
 
 def csv(spark: SparkSession, path: str, schema: T.StructType | str, dialect: CsvDialect = CsvDialect(), after: Any = None) -> DataFrame:
@@ -99,6 +107,25 @@ def document_key(column: str, field: str) -> Any:
     return F.coalesce(value.try_cast("double"), F.unix_millis(F.try_to_timestamp(value)).cast("double"))
 
 
+def parsed(column: str) -> Column:
+    """A JSON document as a variant, so that all fields of it cost one parse; null where the text isn't JSON."""
+    return F.try_parse_json(F.col(column))
+
+
+def document_value(variant: str, field: str, like: Any) -> Column:
+    """A field of a parsed document as a key that is ordered as ``like`` is, null where it is of another kind.
+
+    Whole numbers and decimals are exact (29 digits before the point and 9 behind it), floats are so where ``like`` is one; a time is one that is
+    written as text, in UTC.
+    """
+    value, path = F.col(variant), f"$.{field}"
+    kind = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
+    if isinstance(like, (int, float, Decimal)):
+        return F.when(~kind.isin("STRING", "BOOLEAN"), F.try_variant_get(value, path, "double" if isinstance(like, float) else "decimal(38,9)"))
+    at = F.when(kind == "STRING", F.try_variant_get(value, path, "timestamp"))
+    return F.to_utc_timestamp(at, F.current_timezone()).cast("timestamp_ntz")
+
+
 def log_position(events: DataFrame, ts: str) -> DataFrame:
     """The newest time of the operation log, to be kept before a snapshot is taken."""
     return events.agg(F.max(ts).alias("log_ts"))

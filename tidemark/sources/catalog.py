@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,58 @@ def jdbc_objects(spark: SparkSession, catalog: str, schema: str, pattern: str =
     return tables.where(F.col("tableName").like(pattern)).select(F.col("tableName").alias("object_name"), F.lit("TABLE").alias("object_type")).distinct()
 
 
+def jdbc_metadata(spark: SparkSession, url: str, schema: str | None = None, pattern: str = "%", **options: str) -> dict[str, DataFrame]:
+    """What a driver itself says of the tables and views of a schema: ``tables`` (object_name, table_type), ``constraints`` (tbl, cname, ctype) and ``usage``
+    (tbl, cname, col, ord), as ``list_objects`` and ``unique_keys`` take them.
+
+    For any database with a driver, whether or not it has the standard's views. Primary keys come from the driver's list of them, unique
+    constraints from its unique indexes; an index of statistics or of an expression has no columns and is left out. Only metadata
+    is read, on the driver: a row for each table, and for each column of a key.
+    """
+    jvm = spark._jvm
+    if options.get("driver"):
+        jvm.java.lang.Thread.currentThread().getContextClassLoader().loadClass(options["driver"])
+    given = jvm.java.util.Properties()
+    for key, value in options.items():
+        given.setProperty(key, value)
+    connection = jvm.java.sql.DriverManager.getConnection(url, given)
+
+    def rows(result: Any, *columns: str) -> list[tuple]:
+        try:
+            out = []
+            while result.next():
+                out.append(tuple(result.getString(c) for c in columns))
+            return out
+        finally:
+            result.close()
+
+    try:
+        meta = connection.getMetaData()
+        kinds = spark.sparkContext._gateway.new_array(jvm.java.lang.String, 2)
+        kinds[0], kinds[1] = "TABLE", "VIEW"
+        found = rows(meta.getTables(None, schema, pattern, kinds), "TABLE_SCHEM", "TABLE_NAME", "TABLE_TYPE")
+        names, usage = {}, []
+        for there, table, kind in found:
+            if kind != "TABLE":
+                continue
+            primary = rows(meta.getPrimaryKeys(None, there, table), "PK_NAME", "COLUMN_NAME", "KEY_SEQ")
+            unique = rows(meta.getIndexInfo(None, there, table, True, False), "INDEX_NAME", "COLUMN_NAME", "ORDINAL_POSITION")
+            for kind_, listed in (("PRIMARY KEY", primary), ("UNIQUE", unique)):
+                for name, column, place in listed:
+                    if column is not None:
+                        names[table, name or kind_] = names.get((table, name or kind_), kind_)
+                        usage.append((table, name or kind_, column, int(place)))
+    finally:
+        connection.close()
+    tables = [(t, "BASE TABLE" if k == "TABLE" else k) for _, t, k in found]
+    constraints = [(t, n, k) for (t, n), k in names.items()]
+    return {
+        "tables": spark.createDataFrame(tables, "object_name string, table_type string"),
+        "constraints": spark.createDataFrame(constraints, "tbl string, cname string, ctype string"),
+        "usage": spark.createDataFrame(usage, "tbl string, cname string, col string, ord int"),
+    }
+
+
 def described(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """(tbl, ord, col, def) of the columns of named frames; a name in another case than an earlier one of its table is left out.
 
