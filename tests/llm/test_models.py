@@ -153,12 +153,35 @@ def test_a_long_chain_of_lines():
     assert np.allclose(p[50_100:50_300], near[100:300])
 
 
-def test_quality_learns_from_a_bounded_stretch_of_a_long_text(spark):
+def test_quality_learns_from_a_bounded_number_of_lines(spark):
     rows = [(i, t) for i, (t, _) in enumerate(_texts(4, 60))] + [(100, "\n".join(["fine line of text"] * 5000)), (101, "\n".join(["BUY!!! $$$ ###"] * 5000))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(_texts(4, 60))] + [(100, 1), (101, 0)], "doc_id long, quality int")
-    score = {r.doc_id: r.score for r in q.quality(docs, labels, F.lit(True), lines=50).collect()}
-    assert score[100] > 0.7 > score[101] and sum((score[i] >= 0.7) == bool(y) for i, (_, y) in enumerate(_texts(4, 60))) >= 55
+    for lines in (200_000, 2000):  # the two long texts are learned from, whole, or not at all
+        score = {r.doc_id: r.score for r in q.quality(docs, labels, F.lit(True), lines=lines).collect()}
+        assert sum((score[i] >= 0.7) == bool(y) for i, (_, y) in enumerate(_texts(4, 60))) >= 55 and score[101] < 0.7
+        assert lines == 2000 or score[100] > 0.7
+
+
+def test_quality_learns_from_all_lines_of_its_texts(spark):
+    """Junk only at the beginning, in the middle or at the end of long texts, of which held-out ones are found."""
+    import random
+
+    pick = random.Random(4)
+    good = lambda n: [" ".join(pick.choice(["the", "river", "ran", "under", "old", "stone", "bridges", "and", "then"]) for _ in range(9)) + "." for _ in range(n)]
+    junk = lambda n: ["$$$ BUY!!! 777 || >>> CLICK ### " * 2 for _ in range(n)]
+    texts, at = [], {}
+    for i in range(240):
+        place = i % 4
+        lines = good(600) if place == 0 else {1: junk(60) + good(540), 2: good(270) + junk(60) + good(270), 3: good(540) + junk(60)}[place]
+        at[i] = place
+        texts.append((i, "\n".join(lines), int(place == 0)))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in texts], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in texts], "doc_id long, quality int")
+    scored = q.quality(docs, labels, F.col("doc_id") < 160, carry=["doc_id"]).collect()
+    for place in range(4):
+        own = [r.score >= 0.7 for r in scored if r.doc_id >= 160 and at[r.doc_id] == place]
+        assert sum(own) >= 16 if place == 0 else sum(own) <= 1, place  # of 20
 
 
 # --- language ----------------------------------------------------------------------------------

@@ -7,8 +7,8 @@ between rounds of fitting (at least its worst line stays bad). A document's qual
 is the length-weighted mean of its lines' forward-backward marginals, on a scale
 fitted to the labels.
 
-The field is fitted on a bounded sample of labelled rows (``sample``), chosen by a hash of the
-id, and of such a text on a stretch of at most ``lines`` lines; every text is scored whole.
+The field is fitted on a bounded sample of labelled rows, chosen by a hash of the id: at most ``sample`` texts that have at most
+``lines`` lines together, each of them whole. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -18,11 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import labelled
+from .common import labelled, saved
 
 #: Classes of bytes whose shares describe a line.
 _CLASSES = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b"!?", b"|/\\_<>{}[]=~^", b"#$%&*@+", b".,;:'\"()-", bytes(range(128, 256))]
@@ -173,30 +172,30 @@ def document_share(p: np.ndarray, size: np.ndarray, first: np.ndarray) -> np.nda
     return np.add.reduceat(p * w, first[:-1]) / np.add.reduceat(w, first[:-1]) if len(first) > 1 else np.zeros(0)
 
 
-def quality(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 6_000, lines: int = 200, carry: list[str] | None = None, score_col: str = "score") -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 6_000, lines: int = 300_000, carry: list[str] | None = None, score_col: str = "score") -> DataFrame:
     """``docs`` with a column ``score_col`` in [0, 1], higher for good documents (it replaces one of that name).
 
     ``train`` says which rows' labels may be learned. Rows without a label are not learned from, nor ids whose
-    labels disagree; of rows that repeat an id one is learned from. At most ``sample`` texts and of each at
-    most ``lines`` lines, from a place given by the text's hash, are learned from. A null text
+    labels disagree; of rows that repeat an id one is learned from. At most ``sample`` texts are learned from, whole, and at most ``lines`` lines
+    in all: by a hash of the id, texts are taken while they fit, and one of more than a twentieth of the lines isn't. A null text
     counts as one empty line. Repeated ids are separate rows; other columns pass through (``carry``: only these). An
     empty table gives an empty result; without labels of both kinds all texts get the
     smoothed rate.
     """
     spark = docs.sparkSession
     docs = docs.drop(score_col)
-    known = labelled(docs, labels, train, id_col, text_col, label_col, sample)
+    known = saved(labelled(docs, labels, train, id_col, text_col, label_col, sample).withColumn("n", F.regexp_count(F.coalesce("text", F.lit("")), F.lit("\n")) + 1))
+    # One row of an id and a number for each of at most ``sample`` texts.
+    before = F.sum("n").over(Window.orderBy(F.xxhash64("id"), "id"))
+    fits = known.where(F.col("n") <= lines // 20).select("id", "n").withColumn("upto", before).where(F.col("upto") <= lines)
+    known = known.join(F.broadcast(fits.select("id")), "id").select("id", "text", "label")
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for k in range(0, whole.num_rows, 500):
                 b = whole.slice(k, 500)
                 x, size, first = line_features(b.column("text"))
-                spans = []
-                for lo, hi, text in zip(first[:-1].tolist(), first[1:].tolist(), b.column("text").to_pylist(), strict=True):
-                    if hi - lo > lines:
-                        lo += xxhash.xxh3_64_intdigest(text) % (hi - lo - lines + 1)
-                    spans.append((lo, min(hi, lo + lines)))
+                spans = list(zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
                 yield pa.RecordBatch.from_arrays([b.column("id"), b.column("label"), pa.array([x[lo:hi].astype("<f2").tobytes() for lo, hi in spans], pa.binary()), pa.array([size[lo:hi] for lo, hi in spans], pa.list_(pa.int64()))], ["id", "label", "x", "size"])
 
     kind = known.schema["id"].dataType.simpleString()
