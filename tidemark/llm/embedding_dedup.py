@@ -39,7 +39,7 @@ def embedding_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     """One row per vector: id, n_links, component_id, kept.
 
     Vectors that are null, empty, all zero, or hold a null or non-finite component link with
-    nothing. Vectors of different lengths are not compared. Rows with a null id take part;
+    nothing; finite ones of any size count, up to the greatest doubles. Vectors of different lengths are not compared. Rows with a null id take part;
     a component of only such rows has a null component_id and is not kept. Repeated ids are
     separate rows. Other columns are ignored. An empty table gives an empty result.
 
@@ -74,7 +74,8 @@ def embedding_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col:
             for dim in np.unique(lens):
                 at = np.flatnonzero(lens == dim)
                 x = flat[starts[at][:, None] + np.arange(dim)]
-                h = ((x @ _planes(int(dim), bits * tables, seed) >= 0).reshape(len(at), tables, bits) @ weight).astype(word)
+                # Scaled by its greatest component, so that no product of a huge vector overflows; signs stay as they are.
+                h = ((x / np.abs(x).max(axis=1, keepdims=True) @ _planes(int(dim), bits * tables, seed) >= 0).reshape(len(at), tables, bits) @ weight).astype(word)
                 for i, row, vec in zip(at, h, x, strict=True):
                     sigs[i], data[i] = row.tobytes(), vec.astype(real).tobytes()
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(lens.astype(np.int32)), pa.array(data, pa.binary()), pa.array(sigs, pa.binary()), b.column("mult")], ["node", "dim", "vec", "sigs", "mult"])
