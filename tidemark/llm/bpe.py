@@ -9,8 +9,10 @@ that loops on every base symbol and grows by one gadget for each merge (u, v) ->
 So the state after uv starts as the state after v at that time, and the arcs uv run
 beside the arcs u of that time. Written out, a vocabulary of 50,000 tokens would have
 10**9 arcs; the gadgets share what they inherit, and the table keeps for each fork and arc
-its origin and time and for each gadget the arc it cuts. ``Automaton.step`` resolves an
-arc from these and keeps it in the transition table.
+its origin and time and for each gadget the arc it cuts. An arc is resolved from these when it is first asked for. The transition
+table keeps what was resolved: a square for the ``TABLE`` tokens merged first, which most text is spelled with and the walk
+over many words looks up, and a map of any arcs for long words, which are walked one by one. The rarer arcs of short words
+are resolved each time.
 
 A word is encoded by walking the table over the token labels that spell it. Every prefix of
 a word has one correct tokenisation, so one arc arrives at each position, and the
@@ -33,6 +35,8 @@ from pyspark.sql import types as T
 from .presplit import WordSplit, byte_letters
 
 _FREE = 1 << 60
+#: Tokens whose arcs have a place of their own in the transition table.
+TABLE = 2048
 
 
 def _labels(file: dict) -> list[str]:
@@ -78,6 +82,7 @@ class Automaton:
     def _arrays(self) -> None:
         """The same tables for many words at once: times and origins, cuts by key, and the tokens as a tree of bytes."""
         self.times, self.arcs, self.forks = (np.array(x, np.int64) for x in (self.time, self.arc_of, self.fork_of))
+        self.square = np.full((min(TABLE, self.size),) * 2, 2, np.uint8)  # 1: an arc, 0: none, 2: not asked for yet
         self.cut_keys = np.array(sorted(self.cut), np.int64)
         self.cut_times = np.array([self.cut[k] for k in self.cut_keys.tolist()], np.int64)
         nodes = {x: i for i, x in enumerate(sorted({b"", *self.begins, *self.inner, *self.final}))}  # the root is 0
@@ -115,6 +120,17 @@ class Automaton:
 
     def steps(self, state: np.ndarray, token: np.ndarray) -> np.ndarray:
         """``step`` for arrays."""
+        out, small = np.zeros(len(state), bool), np.flatnonzero((state < len(self.square)) & (token < len(self.square)))
+        known = self.square[state[small], token[small]]
+        out[small[known == 1]] = True
+        new = small[known == 2]
+        rest = np.ones(len(state), bool)
+        rest[small[known < 2]] = False
+        out[rest] = self._resolve_all(state[rest], token[rest])
+        self.square[state[new], token[new]] = out[new]
+        return out
+
+    def _resolve_all(self, state: np.ndarray, token: np.ndarray) -> np.ndarray:
         out = np.zeros(len(state), bool)
         live, before = np.arange(len(state)), np.full(len(state), _FREE)
         while len(live):
