@@ -92,6 +92,15 @@ def test_embeddings_equal_brute_force_and_edges(spark):
     assert embedding_near_dedup(df.where("false")).count() == 0
 
 
+def test_vectors_near_overflow_link(spark):
+    rng = np.random.RandomState(5)
+    base = rng.standard_normal((20, 64))
+    base /= np.abs(base).max(axis=1, keepdims=True)
+    rows = [(i, [float(x) for x in (base[i % 20] + rng.standard_normal(64) * 0.01) * (8e307 if i < 40 else 5e-300)]) for i in range(80)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), recall=0.999999).collect()}
+    assert got == {i: (3, i % 20) for i in range(80)}
+
+
 # --- 2 -----------------------------------------------------------------------------------------
 
 
@@ -161,6 +170,9 @@ def test_automaton_equals_library_on_random_words():
     assert [a.word(w.encode()) for w in words] == want
     assert [x.tolist() for x in a.words([w.encode() for w in words])] == want
     assert a.words([]) == []
+    # The table's square keeps what was asked for, and tells the same as the arcs resolved anew.
+    known = np.argwhere(a.square < 2)
+    assert len(known) > 1000 and a.square[tuple(known.T)].astype(bool).tolist() == a._resolve_all(*known.T).tolist()
 
 
 def test_every_code_point_equals_library():

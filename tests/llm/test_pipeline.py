@@ -107,6 +107,16 @@ def test_rows_that_repeat_are_judged_one_by_one(spark):
     assert STAGES["bpe"](spark, twins, "").count() == 6
 
 
+def test_text_ids_are_told_by_their_text(spark):
+    """Ids that look like numbers, or like one number, are different ids."""
+    rows = [("1", "first text here"), ("01", "a second text"), ("0", "a second text"), ("a", "a  second text"), (" 1", "third")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SHAPE.replace("doc_id long", "doc_id string"))
+    kept = STAGES["exact_dedup"](spark, docs, "")
+    assert sorted(kept.select("doc_id").collect()) == [(" 1",), ("1",), ("a",)] and kept.schema == docs.schema
+    assert sorted(r.doc_id for r in STAGES["near_dedup"](spark, kept, "").collect()) == [" 1", "1", "a"]
+    assert sum(_plain(STAGES["mixing"](spark, kept, "")).values()) == 3 and STAGES["bpe"](spark, kept, "").count() == 3
+
+
 def test_columns_of_any_name_pass_unchanged(spark, tables):
     """Names that the stages use themselves, in any case, and one with a dot."""
     docs = spark.read.parquet(f"{tables}/documents.parquet").limit(40)
