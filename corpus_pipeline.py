@@ -4,9 +4,9 @@ Each stage takes (spark, docs, sf_dir), works on all rows the one before it kept
 written as Parquet and read again. All but the last return the columns of documents, whatever further ones
 there are and however they are named.
 
-Stages that decide on rows tell them by number. Where ids are unique and not null the id is the number, which one
-light aggregate tells; elsewhere the rows are numbered in order of id, null last, and kept in the shared
-folder, so rows that repeat an id are judged one by one and of equal rows one stays.
+Stages that decide on rows tell them by number. Where ids are whole numbers, unique and not null, the id is the number, which one
+light aggregate tells; elsewhere (text ids among them, whatever they look like) the rows are numbered in order of id, null last,
+and kept in the shared folder, so rows that repeat an id are judged one by one and of equal rows one stays.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.bpe import bpe_encode
 from tidemark.llm.common import crc_mod, remove, saved, shared_dir, table
@@ -40,7 +41,8 @@ def _columns(docs: DataFrame) -> list:
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a unique long in a further column, and that column's name."""
     row = _free(docs, "row")
-    if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").isEmpty():
+    whole = isinstance(docs.schema["doc_id"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    if whole and docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").isEmpty():
         return docs.withColumn(row, F.col("doc_id").cast("long")), row
     # The text's hash and the place of a row spread an id with many rows over the ranges.
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col(row)]
