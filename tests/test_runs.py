@@ -240,6 +240,14 @@ def test_a_limit_over_several_keys_passes_no_row_over(spark):
     assert not now and seen == {i for i, a, b in rows if (a or 0) > 1 or (b or 0) > 4}
 
 
+def test_a_hot_key_is_cut_before_the_shuffle(spark):
+    df = spark.range(10_000, numPartitions=4).select(F.lit(1).alias("k"), F.lit("U").alias("_op"), F.when(F.col("id") % 2 == 0, F.lit(DAY)).alias("_ts"), F.col("id").alias("_seq"))
+    last = log.latest(df.union(df.where("_seq = 7").withColumn("k", F.lit(None))), ["k"], ["_ts", "_seq"])
+    assert got(last) == [(1, "U", DAY, 9998), (None, "U", None, 7)]
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit") < plan.index("hashpartitioning") < plan.rindex("WindowGroupLimit")
+
+
 def test_null_keys_are_keys(spark):
     df = spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string")
     alive, gone = merge.delete_missing(df, df, ["k"])
