@@ -729,6 +729,43 @@ def limited_half(spark, sf):
     return increment.read(rows, {"l_orderkey": -1}, limit=rows.count() // 2)[0]
 
 
+@_query("SELECT 'orders' AS object, 'o_orderstatus = ''' || o_orderstatus || '''' AS part, 'o_orderkey' AS col, CAST(max(o_orderkey) AS VARCHAR) AS value FROM orders WHERE o_orderstatus IN ('O', 'F') GROUP BY o_orderstatus")
+def partition_checkpoints(spark, sf):
+    """The checkpoints of an object's partitions after a read."""
+    at, orders = _work(spark), _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    spec, targets = runs.ObjectSpec("orders", ["o_orderkey"], incremental={"o_orderkey": -1}, conditions=["o_orderstatus = 'O'", "o_orderstatus = 'F'"]), _target(spark, at, ["o_orderkey"])
+    runs.run(spark, [spec], lambda _: orders, targets, f"{at}/log")
+    return runs.checkpoints(spark, {"orders": targets(spec)})
+
+
+@_query("SELECT 'users' AS object, epoch_us(max(ts)) AS micros FROM events")
+def log_positions(spark, sf):
+    """The time that a target has reached in its log."""
+    at, events = _work(spark), _events(spark, sf)
+    events.repartition(4, "_seq").write.parquet(f"{at}/in")
+    target = Target(spark, f"{at}/target", ["k"])
+    apply_stream(change_stream(spark, f"{at}/in", _SHAPE, files=2), target, f"{at}/checkpoint").awaitTermination()
+    return runs.log_positions(spark, {"users": target}).select("object", F.unix_micros("ts").alias("micros"))
+
+
+@_query("SELECT event_type AS folder, 1 AS files FROM events WHERE event_type IS NOT NULL GROUP BY 1")
+def file_listing(spark, sf):
+    """Files by folder, told from the listing alone."""
+    at = _work(spark)
+    _t(spark, sf, "events").repartition(1).write.partitionBy("event_type").parquet(at)
+    found = sources.files(spark, at).select(F.regexp_extract("path", "event_type=([^/]*)/", 1).alias("folder"))
+    return found.where("folder <> ''").groupBy("folder").agg(F.count("*").cast("int").alias("files"))
+
+
+@_query("""SELECT p_brand AS tbl, p_partkey AS ord, 'c' || p_partkey || ' ' || ['INTEGER[]','BIGINT[]','BOOLEAN[]','FLOAT[]','NUMERIC[]','TIMESTAMP[]','DATE[]','TIME[]','CHARACTER[]','TEXT[]','TEXT[]'][p_partkey % 11 + 1] || ' NULL' AS definition FROM part""")
+def array_definitions(spark, sf):
+    """Columns of every kind of array, an unknown one among them."""
+    udts = F.array(*map(F.lit, ["_int4", "_int8", "_boolean", "_float8", "_numeric", "_timestamp", "_date", "_time", "_bpchar", "_text", "_other"]))
+    key, none = F.col("p_partkey"), F.lit(0)
+    cols = _t(spark, sf, "part").select(F.col("p_brand").alias("tbl"), key.alias("ord"), F.concat(F.lit("c"), key.cast("string")).alias("col"), F.lit("ARRAY").alias("dt"), none.alias("len"), none.alias("prec"), none.alias("scale"), F.lit("YES").alias("nullable"), F.element_at(udts, (key % 11 + 1).cast("int")).alias("udt"))
+    return catalog.column_definitions(cols)
+
+
 # --- reports over a log of every kind of action ------------------------------------------------
 
 
