@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import remove, saved, shared_dir
 from .shingles import word_hashes
@@ -108,6 +109,41 @@ def _best(rows: list[tuple[int, Any]], k: int) -> list[tuple[int, Any]]:
     return sorted(rows, key=lambda r: (-r[0], r[1] is None, 0 if r[1] is None else r[1]))[:k]
 
 
+def _best_of_tasks(index: DataFrame, mine: list[list[tuple[int, int]]], weight: np.ndarray, count: int, length: int, k: int) -> DataFrame:
+    """(item, doc, score) of the best ``k`` documents that each task finds for each item; ``mine`` are the items' terms with their repeats."""
+    task = index.sparkSession.sparkContext.broadcast((weight, [(np.array([t for t, _ in x]), np.array([n for _, n in x])) for x in mine]))
+    shape = T.StructType([T.StructField("item", T.IntegerType()), index.schema["doc"], T.StructField("score", T.LongType())])
+    kind = to_arrow_type(shape["doc"].dataType)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight, mine = task.value
+        best: list[list[tuple[int, Any]]] = [[] for _ in mine]
+        for batch in batches:
+            doc, n = batch.column(0), batch.column(1).to_numpy()
+            term, tf = batch.column(2).flatten().to_numpy(), batch.column(3).flatten().to_numpy()
+            row = np.repeat(np.arange(len(n)), np.diff(batch.column(2).offsets.to_numpy()))
+            value = weight[term] * _impacts(tf, n[row], count, length)
+            order = np.lexsort((-value, term))
+            row, value = row[order], value[order]
+            starts = np.searchsorted(term[order], np.arange(len(weight) + 1))
+            for i, (own, reps) in enumerate(mine):
+                lists = [(row[starts[t] : starts[t + 1]], value[starts[t] : starts[t + 1]] * r) for t, r in zip(own.tolist(), reps.tolist(), strict=True) if weight[t] and starts[t] < starts[t + 1]]
+                size = max(256, _CELLS // max(1, len(lists)))
+                for low in range(0, len(n) if lists else 0, size):
+                    part = lists
+                    if len(n) > size:
+                        inside = [(d >= low) & (d < low + size) for d, _ in lists]
+                        part = [(d[x] - low, v[x]) for (d, v), x in zip(lists, inside, strict=True)]
+                    bar = best[i][-1][0] if len(best[i]) >= k else 1
+                    rows, scores = nra(part, min(size, len(n) - low), k, bar)
+                    if len(rows):
+                        best[i] = _best([*best[i], *zip(scores.tolist(), doc.take(pa.array(rows + low)).to_pylist(), strict=True)], k)
+        flat = [(i, d, s) for i, rows in enumerate(best) for s, d in rows]
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in flat], pa.int32()), pa.array([x[1] for x in flat], kind), pa.array([x[2] for x in flat], pa.int64())], names=shape.names)
+
+    return index.mapInArrow(search, shape)
+
+
 def lexical_search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block: int = 500_000) -> DataFrame:
     """Each item's ``k`` best documents with a score above 0: (item_id, rank, doc_id, score), columns by the names of the ids.
 
@@ -124,18 +160,18 @@ def lexical_search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str =
     spark = docs.sparkSession
     terms = saved(_item_terms(items, item_col, item_text_col))
     blocks = max(1, -(-terms.count() // block))
-    shape = T.StructType([T.StructField("item", T.IntegerType()), T.StructField("doc", docs.schema[id_col].dataType), T.StructField("score", T.LongType())])
-    names = T.StructType([T.StructField("item", T.IntegerType()), T.StructField("name", items.schema[item_col].dataType)])
-    out = spark.createDataFrame([], T.StructType([T.StructField(item_col, names["name"].dataType), T.StructField("rank", T.IntegerType()), T.StructField(id_col, shape["doc"].dataType), T.StructField("score", T.LongType())]))
+    item = T.StructField(item_col, items.schema[item_col].dataType)
+    out = spark.createDataFrame([], T.StructType([item, T.StructField("rank", T.IntegerType()), T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("score", T.LongType())]))
     for b in range(blocks):
         asked = terms.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).collect()  # bounded by ``block``
         if not asked:
             continue
-        wanted = np.unique(np.array([r.term for r in asked], np.int64).view(np.uint64))
+        hashes = np.array([r.term for r in asked], np.int64).view(np.uint64)
+        wanted = np.unique(hashes)
         known = list(dict.fromkeys(r.item for r in asked))
-        number = {item: i for i, item in enumerate(known)}
+        number = {x: i for i, x in enumerate(known)}
         mine: list[list[tuple[int, int]]] = [[] for _ in known]
-        for r, place in zip(asked, np.searchsorted(wanted, np.array([r.term for r in asked], np.int64).view(np.uint64)).tolist(), strict=True):
+        for r, place in zip(asked, np.searchsorted(wanted, hashes).tolist(), strict=True):
             mine[number[r.item]].append((place, r.reps))
         folder = f"{shared_dir(spark)}/lexical-{uuid.uuid4().hex}"
         _postings(docs, id_col, text_col, wanted).write.parquet(folder)
@@ -146,45 +182,10 @@ def lexical_search(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str =
             for term, n in index.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*")).collect():  # one row for a wanted term
                 df[term] = n
             weight = np.array([math.floor(1000 * math.log((2 * count + 2) / (2 * d + 1))) for d in df.tolist()], np.int64)
-            task = spark.sparkContext.broadcast((weight, [(np.array([t for t, _ in x]), np.array([n for _, n in x])) for x in mine]))
-
-            def search(batches: Iterator[pa.RecordBatch], task: Any = task, count: int = count, length: int = length) -> Iterator[pa.RecordBatch]:
-                weight, mine = task.value
-                best: list[list[tuple[int, Any]]] = [[] for _ in mine]
-                for batch in batches:
-                    doc, n = batch.column(0), batch.column(1).to_numpy()
-                    at = batch.column(2).offsets.to_numpy()
-                    term, tf = batch.column(2).flatten().to_numpy(), batch.column(3).flatten().to_numpy()
-                    row = np.repeat(np.arange(len(n)), np.diff(at))
-                    value = weight[term] * _impacts(tf, n[row], count, length)
-                    order = np.lexsort((-value, term))
-                    row, value, term = row[order], value[order], term[order]
-                    order = np.arange(len(weight) + 1)
-                    starts = np.searchsorted(term, order)
-                    for i, (own, reps) in enumerate(mine):
-                        lists = [(row[starts[t] : starts[t + 1]], value[starts[t] : starts[t + 1]] * r) for t, r in zip(own.tolist(), reps.tolist(), strict=True) if weight[t] and starts[t] < starts[t + 1]]
-                        if not lists:
-                            continue
-                        size = max(256, _CELLS // len(lists))
-                        for low in range(0, len(n), size):
-                            part = lists
-                            if len(n) > size:
-                                inside = [(d >= low) & (d < low + size) for d, _ in lists]
-                                part = [(d[x] - low, v[x]) for (d, v), x in zip(lists, inside, strict=True)]
-                            bar = best[i][-1][0] if len(best[i]) >= k else 1
-                            rows, scores = nra(part, min(size, len(n) - low), k, bar)
-                            if len(rows):
-                                best[i] = _best([*best[i], *zip(scores.tolist(), doc.take(pa.array(rows + low)).to_pylist(), strict=True)], k)
-                flat = [(i, d, s) for i, rows in enumerate(best) for s, d in rows]
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in flat], pa.int32()), pa.array([x[1] for x in flat], doc_type), pa.array([x[2] for x in flat], pa.int64())], names=["item", "doc", "score"])
-
-            from pyspark.sql.pandas.types import to_arrow_type
-
-            doc_type = to_arrow_type(shape["doc"].dataType)
             place = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc")))
-            top = index.mapInArrow(search, shape).withColumn("rank", place).where(F.col("rank") <= k)
-            ids = spark.createDataFrame(list(enumerate(known)), names)
-            found = saved(top.join(F.broadcast(ids), "item").select(F.col("name").alias(item_col), F.col("rank").cast("int").alias("rank"), F.col("doc").alias(id_col), "score"))
+            top = _best_of_tasks(index, mine, weight, count, length, k).withColumn("rank", place).where(F.col("rank") <= k)
+            names = spark.createDataFrame(list(enumerate(known)), T.StructType([T.StructField("item", T.IntegerType()), T.StructField("name", item.dataType)]))
+            found = saved(top.join(F.broadcast(names), "item").select(F.col("name").alias(item_col), F.col("rank").cast("int").alias("rank"), F.col("doc").alias(id_col), "score"))
             out = found if blocks == 1 else out.unionByName(found)
         remove(spark, folder)
     return out
