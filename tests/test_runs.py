@@ -66,6 +66,8 @@ def test_the_log_is_folded_into_a_base_that_says_the_same(spark, tmp_path):
     small = Target(spark, str(at), ["k"], least=0)
     small.apply(records(spark, [(i, "b") for i in range(400)], seq=8), "7")  # more than half of the base
     assert small.manifest()["log"][-1].kind == "base" and len(small.manifest()["files"]) == 1 and small.read().where("v = 'b'").count() == 400
+    small.compact()
+    assert len(list(at.glob("commits/*"))) == 2 and small.read().where("v = 'b'").count() == 400
 
 
 def test_reading_a_small_log_does_not_shuffle_the_base(spark, tmp_path):

@@ -197,6 +197,7 @@ class Target:
         rows.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(folder)
         high = state["high"] or (None, None)
         self._commit(state, "base", folder=folder, rows=seen.get["n"], high_ts=high[0], high_seq=high[1], carried={k: state[k] for k in ("checkpoint", "batches", "streams")})
+        self._forget_commits(state["base"].version if state["base"] else 0)  # of the base before: their number stays bounded
 
     def streamed(self, stream: str, after: int) -> int:
         """The rows that a stream brought in commits after a version."""
@@ -230,7 +231,10 @@ class Target:
             if s.getPath().getName() not in used:
                 self._fs.delete(s.getPath(), True)
                 gone += 1
+        self._forget_commits(state["base"].version if state["base"] else 0)
+        return gone
+
+    def _forget_commits(self, before: int) -> None:
         for number in self._numbers():
-            if state["base"] and number < state["base"].version:
+            if number < before:
                 self._fs.delete(self._hadoop(f"{self.path}/commits/{number:012d}"), True)
-        return gone
