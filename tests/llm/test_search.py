@@ -166,6 +166,8 @@ PAGES = {
     "<div id=content><p>" + "word " * 30 + "<p>short</div><div class=sidebar><p>" + "noise " * 50 + "</div>": "word " * 30 + "short",
     "<article>\n a\t\n<i>b</i>&nbsp;c <!-- no <p>x --> d<p> e </article><p>out": "a b c d e",
     "<article><p>one<form><p>mail?<input></form><aside>see</aside><p>two<div class='ad'>buy</div></article>": "one two",
+    "<body class='comments-open no-sidebar'><div id=siteHeader>x</div><div class='main-nav'>y</div><div class='post content_with_sidebar'><h1>T</h1><p>A</div><div class='left-sidebar'>z</div><div id='post-comments'>no": "T A",
+    "<div class='page-header'><article class='post'><div class='entry-header'><h2>T</h2>by me</div><p>A<table><tr><td>1<td>2</table><pre> x\n y</pre></article></div>": "T A 1 2 x y",
     '<div title="a > b">in</div>': "in", "<p>broken <a href='x>y": "broken y", "<article><a href=x>all link</a></article>": "all link",
 }
 

@@ -28,7 +28,8 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 # Elements and words of class, id and role that tell what is not the article.
 _ASIDE = frozenset("nav header footer aside form menu dialog button select fieldset".split())
-_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs captcha consent cookie cookies disclaimer disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices notification pagination paywall popup promo promotion recommended related search share sharing sidebar signup skyscraper social sponsor sponsored subscribe tags toolbar widget alert complementary contentinfo".split())
+_NAMES = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs captcha consent cookie cookies disclaimer disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices notification pagination paywall popup promo promotion recommended related search share sharing sidebar signup skyscraper social sponsor sponsored subscribe tags toolbar widget alert complementary contentinfo".split())
+_WITH = frozenset("has with without no".split())
 _REPLIES = frozenset("comment comments commentlist replies reply discussion respond".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -38,14 +39,24 @@ _FREE, _SOFT, _HARD = 0, 1, 2
 _ANYWHERE, _MAIN, _ARTICLE = 0, 1, 2
 
 
+def _words(marks: str) -> set[str]:
+    """The names in class, id and role, each with its first and last part: ``site-header``, ``ad_top``, ``mainNav``. ``has-sidebar`` tells of another element."""
+    out = set()
+    for name in re.sub("(?<=[a-z])(?=[A-Z])", "-", marks).lower().split():
+        parts = re.split("[-_]+", name)
+        if _WITH.isdisjoint(parts):
+            out |= {name, parts[0], parts[-1]}
+    return out
+
+
 def _kind(name: str, rest: str) -> tuple[int, bool, bool]:
     """How firmly an element lies outside of the article, whether it holds readers' comments, whether it is an article's body."""
-    found = " ".join(x for m in _MARKS.findall(rest) for x in m).lower() if rest else ""
-    words = set(found.split()) | {w for x in found.split() for w in (x.rsplit("_", 1)[0], x.rsplit("-", 1)[0])} if found else set()
+    found = " ".join(x for m in _MARKS.findall(rest) for x in m) if rest and name not in ("html", "body") else ""
+    words = _words(found) if found else set()
     replies = not words.isdisjoint(_REPLIES)
     if name in _ASIDE or replies:
         return _HARD, replies, False
-    return (_SOFT if not words.isdisjoint(_WORDS) else _FREE), False, "articlebody" in words
+    return (_SOFT if not words.isdisjoint(_NAMES) else _FREE), False, "articlebody" in found.lower()
 
 
 def _lines(page: str, window: int) -> tuple[list[str], list[int], list[int]]:
