@@ -160,6 +160,12 @@ def test_the_checkpoint_moves_with_the_rows_read(spark, tmp_path):
     assert not list((tmp_path / "o" / "log").glob("*"))
 
 
+def test_runs_of_one_name_read_on(spark, tmp_path):
+    spec = runs.ObjectSpec("o", ["k"], incremental={"u": 0})
+    counts = [_go(spark, tmp_path, [spec], spark.createDataFrame(rows, "k int, u int"), run_id="nightly")[0]["o"].records for rows in ([(1, 1)], [(1, 1), (2, 2)], [(2, 2)])]
+    assert counts == [1, 1, 0]
+
+
 def test_another_set_of_keys_starts_again(spark, tmp_path):
     df = spark.createDataFrame([(1, 5, 1), (2, 7, 2)], "k int, u int, w int")
     read = lambda **keys: _go(spark, tmp_path, [runs.ObjectSpec("o", ["k"], **keys)], df)[0]["o"].records

@@ -120,9 +120,13 @@ def follow(target: Target, records: DataFrame) -> list[str]:
 
 
 def _land(target: Target, rows: DataFrame, values: dict[str, Column], made: Callable[[DataFrame], DataFrame], batch: str, checkpoint: Callable[[dict[str, Any]], dict[str, Any]], fields: list[T.StructField] | None = None, empty: bool = False) -> int:
-    """Append the change records ``made`` from ``rows`` and commit; the number of records. ``values``: greatest values to be seen on the way."""
-    rows, seen = increment.observed(rows, [], f"read-{uuid.uuid4().hex}", values)
-    target.apply(made(rows), batch, lambda: checkpoint(seen.get), empty=empty, fields=fields)
+    """Append the change records ``made`` from ``rows`` and commit; the number of records. ``values``: greatest values to be seen on the way.
+
+    The checkpoint in the commit tells what was read, so every read is a batch of its own, also where the name of a run comes again.
+    """
+    name = uuid.uuid4().hex
+    rows, seen = increment.observed(rows, [], f"read-{name}", values)
+    target.apply(made(rows), f"{batch}/{name}", lambda: checkpoint(seen.get), empty=empty, fields=fields)
     return seen.get["records"]
 
 
@@ -215,7 +219,7 @@ def _read_files(spec: ObjectSpec, source: DataFrame, target: Target, run_id: str
         rows = _within(spec, source.where(F.col("_file").isin([r._file for r in group])))
         fields, said = _changed(target, made(rows)) if spec.follow else (None, [])
         now = {"_file_time": _plain(last), "_files": sorted(known)}
-        total += _land(target, rows, {}, made, f"{run_id}/{spec.name}/{i}", lambda got, now=now: now, fields, empty=True)
+        total += _land(target, rows, {}, made, f"{run_id}/{spec.name}", lambda got, now=now: now, fields, empty=True)
         ddls += said
     return {"records": total, "keys": {"_file_time": str(last)}, "ddls": ddls}
 
