@@ -428,13 +428,14 @@ def test_a_deleted_key_of_a_file_comes_back_with_a_later_one(spark, tmp_path):
         assert done["o"].records == 1 and got(made["o"].read()) == [("1", f"back{i}"), ("2", "x")]
 
 
-def test_files_of_one_time_are_each_read_once(spark, tmp_path):
+@pytest.mark.parametrize("reader", [sources.csv, sources.csv_files])
+def test_files_of_one_time_are_each_read_once(spark, tmp_path, reader):
     spec = runs.ObjectSpec("o", ["id"], kind="csv", incremental={"_file_time": datetime.datetime(1970, 1, 1)}, files=2)
     counts = []
     for names, at in ((["a 1", "b"], 1_700_000_000), (["c", "a0"], 1_700_000_000), ([], 0), (["d", "e", "f"], 1_700_000_005), (["old"], 1_600_000_000)):
         for n in names:
             _csv(tmp_path / "in", f"{n}.csv", f"id,v\n{n},x\n", at)
-        done, made = _go(spark, tmp_path, [spec], sources.csv(spark, str(tmp_path / "in"), "id string, v string"))
+        done, made = _go(spark, tmp_path, [spec], reader(spark, str(tmp_path / "in"), "id string, v string"))
         counts.append(done["o"].records)
     assert counts == [2, 2, 0, 3, 0] and made["o"].read().count() == 7
     groups = [r.rows for r in made["o"].manifest()["log"] if r.kind == "data"]
@@ -442,6 +443,20 @@ def test_files_of_one_time_are_each_read_once(spark, tmp_path):
     assert got(runs.checkpoints(spark, made).select("object", "col")) == [("o", "_file_time")]
 
 
+def test_new_files_are_told_by_the_listing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runs, "_AHEAD", 1)  # so the driver is told of two files at a time
+    spec = runs.ObjectSpec("o", ["id"], kind="csv", incremental={"_file_time": datetime.datetime(1970, 1, 1)}, files=2)
+    for i in range(6):
+        _csv(tmp_path / "in", f"{i}.csv", f"id,v\n{i},x\n" if i != 4 else "id,v\n", 1_700_000_000 + i // 4)
+    found = sources.csv_files(spark, str(tmp_path / "in"), "id string, v string")
+    done, made = _go(spark, tmp_path, [spec], sources.Files(found.rows, found.listing.where("path NOT LIKE '%3.csv'")))
+    assert done["o"].records == 4 and [r.rows for r in made["o"].manifest()["log"]] == [2, 1, 1]
+    assert _go(spark, tmp_path, [spec], found)[0]["o"].records == 0  # of a time before the frontier
+    left = sources.Files(found.rows.where("id <> '0'"), found.listing)
+    assert _go(spark, tmp_path, [spec], left, work=runs.delete_sync_object)[0]["o"].records == 1
+    assert got(made["o"].read()) == [("1", "x"), ("2", "x"), ("5", "x")]
+
+
 @pytest.mark.parametrize("text", ['id,v\n1,"a\nb"\n2,c\n', 'id,v\r\n1,"say ""x"", y"\r\n2,"\r\n"\r\n', 'id,v\n1,"x,\n\ny"\n\n2,z\n', 'id,v\n1,"open\n'])
 def test_quoted_line_breaks(spark, tmp_path, text):
     import csv as plain

@@ -29,12 +29,14 @@ from ..functions import any_of
 from ..operators import changes as log
 from ..operators import increment, reports, state
 from ..operators.merge import delete_missing
-from ..sources import catalog, document_value, parsed
+from ..sources import Files, catalog, document_value, parsed
 from ..streaming import LogSource, apply_stream, stream_id
 from .store import Target
 
 LOG_SCHEMA = "run_id string, object string, read_type string, action string, start_ts timestamp, end_ts timestamp, records bigint, status string, status_description string, keys map<string,string>, ddls array<string>, object_reload int, schema_reload int, commit_id bigint"
 _EPOCH = datetime.datetime(1970, 1, 1)
+#: Groups of files whose names the driver is told of at a time.
+_AHEAD = 100
 
 
 @dataclass(frozen=True)
@@ -44,7 +46,7 @@ class ObjectSpec:
     The unique key's columns must not be null: a row with a null key fails the object's read, and the log names the column.
 
     ``conditions`` are the object's partitions: each has checkpoints of its own, told by its text.
-    ``kind``: "table"; "csv" (of ``sources.csv``: an incremental one has ``incremental={"_file_time": first}``; files are read
+    ``kind``: "table"; "csv" (of ``sources.csv_files``, or ``sources.csv``, whose new files are opened twice: an incremental one has ``incremental={"_file_time": first}``; files are read
     once each, oldest first, ``files`` of them for a commit, and of rows with one key that of the later file counts); "documents" (of
     ``sources.json_documents``, whose key is ``_id``: incremental keys are fields of the document, compared as their first
     values are: whole numbers and decimals exactly, floats, or times); "log" (a ``streaming.LogSource``: a snapshot once, then the log from the
@@ -84,6 +86,10 @@ def _typed(v: Any, like: Any) -> Any:
     return datetime.date.fromisoformat(v) if isinstance(like, datetime.date) else v
 
 
+def _rows(source: DataFrame | Files) -> DataFrame:
+    return source.rows if isinstance(source, Files) else source
+
+
 def _within(spec: ObjectSpec, source: DataFrame) -> DataFrame:
     return source.where(any_of([F.expr(c) for c in spec.conditions])) if spec.conditions else source
 
@@ -153,7 +159,8 @@ def read_object(spec: ObjectSpec, source: Any, target: Target, run_id: str) -> d
     """
     if spec.kind == "log":
         return _read_log(spec, source, target, run_id)
-    source, first, names = _keyed(spec, source)
+    listing = source.listing if isinstance(source, Files) else None
+    source, first, names = _keyed(spec, _rows(source))
     saved = target.manifest()["checkpoint"]
     parts: dict[str, dict[str, Any]] = saved.get("_parts") or {}
     before = {k for k in saved if not k.startswith("_")} | {k for p in parts.values() for k in p}
@@ -166,7 +173,7 @@ def read_object(spec: ObjectSpec, source: Any, target: Target, run_id: str) -> d
     op = F.when(F.coalesce(F.expr(spec.delete_condition), F.lit(False)), "D").otherwise("I") if spec.delete_condition and first else F.lit("I")
     helpers = {*([] if spec.kind == "table" else ["_file_time", "_file", "document_variant"]), *(c for c in names if c != names[c])}
     if spec.kind == "csv" and first:
-        return _read_files(spec, source, target, run_id, op, helpers, first["_file_time"], saved)
+        return _read_files(spec, source, listing, target, run_id, op, helpers, first["_file_time"], saved)
     ts = F.col("_file_time") if spec.kind == "csv" and "_file_time" in source.columns else F.lit(_EPOCH)
     made = _records(spec, source, helpers, run_id, op, ts, F.lit(target.manifest()["version"] + 1))
     # The values that hold before the read, by condition; without conditions the one without a text.
@@ -198,30 +205,34 @@ def read_object(spec: ObjectSpec, source: Any, target: Target, run_id: str) -> d
     return {"records": n, "keys": keys, "ddls": ddls}
 
 
-def _read_files(spec: ObjectSpec, source: DataFrame, target: Target, run_id: str, op: Column, helpers: set[str], first: Any, saved: dict[str, Any]) -> dict[str, Any]:
+def _read_files(spec: ObjectSpec, source: DataFrame, listing: DataFrame | None, target: Target, run_id: str, op: Column, helpers: set[str], first: Any, saved: dict[str, Any]) -> dict[str, Any]:
     """The files beyond the frontier, group by group, oldest first; each group is one commit.
 
-    The frontier is a time and the files of that very time that were read: others of it are still to come. Their names are all that
-    the driver gets, once; so does Spark's own list of the folder.
+    The frontier is a time and the files of that very time that were read: others of it are still to come. With a listing only new files are
+    opened, each once; without one they are opened to be told as well. Their names come to the driver some groups at a time.
     """
     last = _typed(saved["_file_time"], first) if "_file_time" in saved else first
     known = set(saved.get("_files", []))
-    done = target.spark.createDataFrame([(x,) for x in known], "_file string")
-    there = source.where(F.col("_file_time") >= increment.literal(last)).select("_file_time", "_file").distinct()
-    new = [r for r in there.join(done, "_file", "left_anti").orderBy("_file_time", "_file").collect() if known or r._file_time > last]
-    total, ddls = 0, []
-    for i in range(0, len(new), spec.files):
-        group = new[i : i + spec.files]
-        top = group[-1]._file_time
-        known = {r._file for r in group if r._file_time == top} | (known if top == last else set())
-        last = top
-        made = _records(spec, source, helpers, run_id, op, F.col("_file_time"), F.lit(target.manifest()["version"] + 1))
-        rows = _within(spec, source.where(F.col("_file").isin([r._file for r in group])))
-        fields, said = _changed(target, made(rows)) if spec.follow else (None, [])
-        now = {"_file_time": _plain(last), "_files": sorted(known)}
-        total += _land(target, rows, {}, made, f"{run_id}/{spec.name}", lambda got, now=now: now, fields, empty=True)
-        ddls += said
-    return {"records": total, "keys": {"_file_time": str(last)}, "ddls": ddls}
+    listed = source.select("_file_time", "_file").distinct() if listing is None else listing.select(F.col("modified").alias("_file_time"), F.col("path").alias("_file"))
+    total, ddls, most = 0, [], spec.files * _AHEAD
+    while True:
+        done = target.spark.createDataFrame([(x,) for x in known], "_file string")
+        # Before anything of the first time was read, only later files count.
+        beyond = F.col("_file_time") >= increment.literal(last) if known else F.col("_file_time") > increment.literal(last)
+        new = listed.where(beyond).join(done, "_file", "left_anti").orderBy("_file_time", "_file").limit(most).collect()
+        for i in range(0, len(new), spec.files):
+            group = new[i : i + spec.files]
+            top = group[-1]._file_time
+            known = {r._file for r in group if r._file_time == top} | (known if top == last else set())
+            last = top
+            made = _records(spec, source, helpers, run_id, op, F.col("_file_time"), F.lit(target.manifest()["version"] + 1))
+            rows = _within(spec, source.where(F.col("_file").isin([r._file for r in group])))
+            fields, said = _changed(target, made(rows)) if spec.follow else (None, [])
+            now = {"_file_time": _plain(last), "_files": sorted(known)}
+            total += _land(target, rows, {}, made, f"{run_id}/{spec.name}", lambda got, now=now: now, fields, empty=True)
+            ddls += said
+        if len(new) < most:
+            return {"records": total, "keys": {"_file_time": str(last)}, "ddls": ddls}
 
 
 def _read_log(spec: ObjectSpec, source: LogSource, target: Target, run_id: str) -> dict[str, Any]:
@@ -257,7 +268,7 @@ def delete_sync_object(spec: ObjectSpec, source: Any, target: Target, run_id: st
     if not spec.unique_key or not target.columns():
         return {"records": 0, "keys": {}}
     ts, seq = target.manifest()["high"] or (None, 0)
-    keys = _within(spec, source.snapshot if isinstance(source, LogSource) else source)
+    keys = _within(spec, source.snapshot if isinstance(source, LogSource) else _rows(source))
     _, gone = delete_missing(target.read(), keys, spec.unique_key)
     place = F.lit(ts).cast("timestamp"), F.lit((seq or 0) + 1)
     n = _land(target, gone, {}, lambda df: log.emit(df, "D", run_id, *place), f"{run_id}/{spec.name}/deletes", lambda got: {})

@@ -595,7 +595,7 @@ def run_csv(spark, sf):
     spec, targets = runs.ObjectSpec("supplier", ["s_suppkey"], kind="csv", incremental={"_file_time": datetime.datetime(1970, 1, 1)}), _target(spark, at, ["s_suppkey"])
     for rows in (s, s.where("s_suppkey % 4 = 0").withColumn("s_name", F.lit("later"))):
         rows.write.mode("append").option("header", True).csv(f"{at}/in")
-        found = sources.csv(spark, f"{at}/in", sources.csv_schema(spark, f"{at}/in"))
+        found = sources.csv_files(spark, f"{at}/in", sources.csv_schema(spark, f"{at}/in"))
         runs.run(spark, [spec], lambda _, df=found: df, targets, f"{at}/log")
     return targets(spec).read()
 
@@ -696,7 +696,7 @@ def run_csv_same_time(spark, sf):
         fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
         for s in fs.listStatus(folder):
             fs.setTimes(s.getPath(), 1_700_000_000_000, -1)
-        found = sources.csv(spark, f"{at}/in", sources.csv_schema(spark, f"{at}/in"))
+        found = sources.csv_files(spark, f"{at}/in", sources.csv_schema(spark, f"{at}/in"))
         runs.run(spark, [spec], lambda _, df=found: df, targets, f"{at}/log")
     return targets(spec).read()
 

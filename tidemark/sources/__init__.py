@@ -62,7 +62,8 @@ def csv_schema(spark: SparkSession, path: str, dialect: CsvDialect = CsvDialect(
     """Text columns named by the first record of the first file by path, or ``col1..colN`` without a header.
 
     A blank name becomes ``col`` and its place, so the names after it stay with their columns. A file without a record is passed over; without any
-    the schema is empty. Files are told by the listing, and only the first one with a record is opened.
+    the schema is empty. Files are told by the listing, and only the first one with a record is opened; Spark takes signs of a pattern (``[``, ``{``, ``*``, ``?``)
+    in its name for one, so a folder whose first file has such a name needs a schema that the caller states.
     """
     options = dialect.options() | {"header": False, "nullValue": "\ue000", "ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
     there, last = files(spark, path), ""
@@ -84,6 +85,20 @@ def csv(spark: SparkSession, path: str, schema: T.StructType | str, dialect: Csv
     return df if after is None else df.where(F.col("_file_time") > F.lit(after))
 
 
+@dataclass(frozen=True)
+class Files:
+    """Rows of files with ``_file_time`` and ``_file``, and the files' listing (as of ``files``), by which a run tells new files without opening any."""
+
+    rows: DataFrame
+    listing: DataFrame
+
+
+def csv_files(spark: SparkSession, path: str, schema: T.StructType | str, dialect: CsvDialect = CsvDialect()) -> Files:
+    """A folder as of ``csv`` with its listing. The listing is made first, so every file in it is one of those that the rows are read from."""
+    listing = files(spark, path)
+    return Files(csv(spark, path, schema, dialect), listing)
+
+
 def documents(df: DataFrame, id_col: str, columns: list[str] | None = None) -> DataFrame:
     """Rows as (``_id``, ``document``): the id as text and the other columns (or ``columns``) as a JSON object."""
     kept = columns or [c for c in df.columns if c != id_col]
