@@ -53,6 +53,6 @@ def totals(run_log: DataFrame, by: str = "object") -> DataFrame:
     latest = last_runs(run_log.select(by, "records", "status", "start_ts", "end_ts"), by, "start_ts")
     both = now.join(latest.select(by, "status", "end_ts"), by)
     return both.agg(
-        F.count("*").alias("total_objects"), F.count_if(F.col("status") == "ERROR").alias("failed_objects"), F.count_if(F.col("read_type") == "SNAPSHOT").alias("snapshot_objects"), F.count_if(F.col("read_type") == "INCREMENTAL").alias("incremental_objects"),
+        F.count("*").alias("total_objects"), F.count_if(F.col("status") == "ERROR").alias("failed_objects"), F.count_if(F.col("read_type") == "SNAPSHOT").alias("snapshot_objects"), F.count_if(F.col("read_type") == "INCREMENTAL").alias("incremental_objects"), F.count_if(F.col("read_type") == "SNAPSHOT + LOG_BASED").alias("log_based_objects"),
         F.max("last_read_start").alias("last_read_start"), F.max("last_read_end").alias("last_read_end"), F.max("last_delete_sync_start").alias("last_delete_sync_start"), F.max("last_delete_sync_end").alias("last_delete_sync_end"),
         F.coalesce(F.sum("total_records"), F.lit(0)).cast("long").alias("total_records"), F.max("end_ts").alias("last_heartbeat"), F.greatest(F.max("last_read_start"), F.max("last_delete_sync_start")).alias("last_job_start"))

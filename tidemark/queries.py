@@ -795,10 +795,25 @@ def object_report(spark, sf):
 @_query(_FULL + """ SELECT count(*) AS total_objects, count(*) FILTER (last_status = 'ERROR') AS failed_objects, count(*) FILTER (read_type = 'SNAPSHOT') AS snapshot_objects, count(*) FILTER (read_type = 'INCREMENTAL') AS incremental_objects,
  epoch(max(rs)) AS last_read_start, epoch(max(re)) AS last_read_end, epoch(max(ds)) AS last_delete_sync_start, epoch(max(de)) AS last_delete_sync_end, CAST(sum(total) AS BIGINT) AS total_records, epoch(max(last_e)) AS last_heartbeat, epoch(greatest(max(rs), max(ds))) AS last_job_start FROM st""")
 def job_report(spark, sf):
-    out = reports.totals(_full_log(spark, sf))
+    out = reports.totals(_full_log(spark, sf)).drop("log_based_objects")
     return out.withColumns({c: F.unix_micros(c) / 1e6 for c in ("last_read_start", "last_read_end", "last_delete_sync_start", "last_delete_sync_end", "last_heartbeat", "last_job_start")})
 
 
+@_query("""WITH e AS (SELECT user_id AS k, ts < TIMESTAMP '2024-01-15' AS before FROM events)
+SELECT CAST(3 AS BIGINT) AS total_objects, CAST(0 AS BIGINT) AS failed_objects, CAST(1 AS BIGINT) AS snapshot_objects, CAST(1 AS BIGINT) AS incremental_objects, CAST(1 AS BIGINT) AS log_based_objects,
+ (SELECT count(*) FROM nation) + (SELECT count(*) FROM orders) + (SELECT count(DISTINCT k) FROM e WHERE before) + (SELECT count(*) FROM e WHERE NOT before) AS total_records""")
+def job_of_all_kinds(spark, sf):
+    """The report on one job that reads a table once, a table by its key, and an object by its log."""
+    at, events, keys = _work(spark), _events(spark, sf), {"nation": "n_nationkey", "orders": "o_orderkey", "users": "k"}
+    split = F.expr("CAST(TIMESTAMP_NTZ '2024-01-15' AS TIMESTAMP)")
+    events.write.parquet(f"{at}/in")
+    rows = events.where(F.col("_ts") < split).groupBy("k").agg(F.max_by("seq", F.struct("_ts", "_seq")).alias("seq"))
+    users = LogSource(rows, lambda: spark.range(1).select(split).first()[0], lambda since: change_stream(spark, f"{at}/in", _SHAPE, since=since))
+    specs = [runs.ObjectSpec("nation", ["n_nationkey"], group="a"), runs.ObjectSpec("orders", ["o_orderkey"], incremental={"o_orderkey": -1}, group="b"), runs.ObjectSpec("users", ["k"], kind="log", group="c")]
+    runs.run(spark, specs, lambda name: users if name == "users" else _t(spark, sf, name), lambda s: Target(spark, f"{at}/{s.name}", [keys[s.name]]), f"{at}/log", threads=3)
+    return reports.totals(spark.read.schema(runs.LOG_SCHEMA).parquet(f"{at}/log")).select("total_objects", "failed_objects", "snapshot_objects", "incremental_objects", "log_based_objects", "total_records")
+
+
 @_query("SELECT (SELECT count(DISTINCT (o_custkey, o_orderstatus = 'O')) FROM orders) AS checkpoints, (SELECT count(*) FILTER (c_custkey % 5 <> 0) FROM customer) AS enabled_objects")
 def state_counts(spark, sf):
     return state.counts(state.initial(_keys(spark, sf)), _specs(spark, sf), "enable")
