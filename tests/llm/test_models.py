@@ -31,6 +31,31 @@ def test_slope_of_the_penalised_loss_equals_differences():
     assert abs(gb - (tox.penalised(d, w, b + h)[0] - tox.penalised(d, w, b - h)[0]) / (2 * h)) < 1e-7
 
 
+@pytest.mark.parametrize("even", [0.0, 1.0])
+def test_toxicity_fit_reaches_its_optimum(monkeypatch, even):
+    """At the weights found no slope is left beyond the absolute penalty."""
+    rng = np.random.RandomState(5)
+    n, buckets = 400, np.array([3, 8, 21, 34, 55, 89])
+    y = rng.randint(0, 2, n)
+    share = np.array([[0.1, 0.8, 0.3, 0.6, 0.5, 0.2], [0.6, 0.3, 0.5, 0.4, 0.1, 0.5]])[y]
+    has = rng.random_sample((n, 6)) < share
+    swaps = [[([3, 21], [8])] if i % 3 == 0 else [] for i in range(n)]
+    rows = [{"label": int(y[i]), "features": buckets[has[i]].tolist(), "swaps": swaps[i]} for i in range(n)]
+    seen, plain = [], tox.penalised
+    monkeypatch.setattr(tox, "penalised", lambda d, w, b: (seen.append(d), plain(d, w, b))[1])
+    kept, w, b = tox.fit(rows, kept_z=0.0, even=even)
+    full = np.zeros(6)
+    full[np.searchsorted(buckets, kept)] = w
+    loss, g, gb = plain(seen[0], full, b)
+    rate = y.mean()
+    toll = 0.5 * np.sqrt(has.mean(0) * rate * (1 - rate) / n)
+    left = np.where(full != 0, np.abs(g + toll * np.sign(full)), np.maximum(np.abs(g) - toll, 0))
+    assert np.count_nonzero(full) >= 4 and left.max() < 1e-6 and abs(gb) < 1e-6
+    for _ in range(50):
+        near = full + rng.standard_normal(6) * 0.05
+        assert plain(seen[0], near, b)[0] + toll @ np.abs(near) > loss + toll @ np.abs(full)
+
+
 def _mentions(spark, n=900):
     """Toxic texts mention one group far more often than neutral ones do; the other group the other way round."""
     pick = random.Random(3)
@@ -153,6 +178,26 @@ def test_a_long_chain_of_lines():
     assert np.allclose(p[50_100:50_300], near[100:300])
 
 
+def test_quality_fit_reaches_its_optimum():
+    """Of the field's weights next to no slope is left, of the scale of scores none."""
+    texts = _texts(6, 80)
+    x, size, first = q.line_features(pa.array([t for t, _ in texts]))
+    label = np.array([y for _, y in texts])
+    w, tie, slope, shift = q.fit(x, size, first, label, rounds=1)
+    doc = np.repeat(np.arange(len(label)), np.diff(first))
+    weight = np.where(label == 1, 0.5 / label.sum(), 0.5 / (1 - label).sum())[doc] / np.diff(first)[doc]
+
+    def left(w, tie):
+        p, _ = q.marginals(x.astype(float) @ w, tie, first)
+        return p, ((label[doc] - p) * weight) @ x - 1e-3 * w
+
+    p, g = left(w, tie)
+    assert np.abs(g).max() < 0.02 * np.abs(left(0 * w, 0 * tie)[1]).max()
+    share = q.document_share(p, size, first)
+    z = 1 / (1 + np.exp(-(slope * share + shift)))
+    assert abs(((label - z) * share).sum() - 0.01 * slope) < 1e-3 and abs((label - z).sum() - 0.01 * shift) < 1e-3
+
+
 def test_quality_learns_from_a_bounded_number_of_lines(spark):
     rows = [(i, t) for i, (t, _) in enumerate(_texts(4, 60))] + [(100, "\n".join(["fine line of text"] * 5000)), (101, "\n".join(["BUY!!! $$$ ###"] * 5000))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
